@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import secrets, sharding, url_rules
+from plumbline.llm import packing, secrets, sharding, url_rules
 
 URL_RULES: tuple[url_rules.Rule, ...] = (
     ("block", "com", "/en/"),
@@ -20,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), capacity=1024, end_id=2, with_ids=False)
+
+
 def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=16, seed=20)
     return d.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -42,6 +46,6 @@ def op6_url_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op3_interleaved_shards, op5_blob_ledger, op6_url_intervals)}
+QUERIES = {f.__name__: f for f in (op1_sum_of_squares, op3_interleaved_shards, op5_blob_ledger, op6_url_intervals)}
 
 ORACLES: dict[str, str] = {}

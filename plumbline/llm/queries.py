@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontamination, language, packing, secrets, sharding, url_rules
+from plumbline.llm import decontamination, language, packing, quality, secrets, sharding, url_rules
 
 URL_RULES: tuple[url_rules.Rule, ...] = (
     ("block", "com", "/en/"),
@@ -24,6 +24,10 @@ def op1_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), capacity=1024, end_id=2, with_ids=False)
 
 
+def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(_table(spark, sf_dir, "documents"))
+
+
 def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=16, seed=20)
     return d.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -55,6 +59,6 @@ def op10_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sum_of_squares, op3_interleaved_shards, op5_blob_ledger, op6_url_intervals, op8_language_bitmasks, op10_template_windows)}
+QUERIES = {f.__name__: f for f in (op1_sum_of_squares, op2_divergence_rules, op3_interleaved_shards, op5_blob_ledger, op6_url_intervals, op8_language_bitmasks, op10_template_windows)}
 
 ORACLES: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontamination, language, packing, quality, secrets, sharding, url_rules
+from plumbline.llm import decontamination, jaccard, language, packing, quality, secrets, sharding, url_rules
 
 URL_RULES: tuple[url_rules.Rule, ...] = (
     ("block", "com", "/en/"),
@@ -50,6 +50,10 @@ def op6_url_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_fragment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(_table(spark, sf_dir, "documents"))
+
+
 def op8_language_bitmasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = language.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), ~language.held_out())
     return d.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
@@ -59,6 +63,6 @@ def op10_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sum_of_squares, op2_divergence_rules, op3_interleaved_shards, op5_blob_ledger, op6_url_intervals, op8_language_bitmasks, op10_template_windows)}
+QUERIES = {f.__name__: f for f in (op1_sum_of_squares, op2_divergence_rules, op3_interleaved_shards, op5_blob_ledger, op6_url_intervals, op7_fragment_join, op8_language_bitmasks, op10_template_windows)}
 
 ORACLES: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontamination, jaccard, language, packing, quality, secrets, sharding, url_rules
+from plumbline.llm import decontamination, jaccard, language, licenses, packing, quality, repeats, secrets, sharding, url_rules
 
 URL_RULES: tuple[url_rules.Rule, ...] = (
     ("block", "com", "/en/"),
@@ -33,6 +33,10 @@ def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def _spans(findings, kinds: tuple[str, ...] = ()):
     own = F.filter(findings, lambda x: x["kind"].isin(*kinds)) if kinds else findings
     return F.array_join(F.transform(own, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
@@ -59,10 +63,14 @@ def op8_language_bitmasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sum_of_squares, op2_divergence_rules, op3_interleaved_shards, op5_blob_ledger, op6_url_intervals, op7_fragment_join, op8_language_bitmasks, op10_template_windows)}
+QUERIES = {f.__name__: f for f in (op1_sum_of_squares, op2_divergence_rules, op3_interleaved_shards, op4_patience_licenses, op5_blob_ledger, op6_url_intervals, op7_fragment_join, op8_language_bitmasks, op9_repeated_bytes, op10_template_windows)}
 
 ORACLES: dict[str, str] = {}

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -172,12 +173,43 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
         return rows.mapInPandas(run, schema)
 
-    out, block, held = None, [], 0
+    out = None
+    for block in _blocks(benchmark, item_col, item_text_col):
+        out = search(block) if out is None else out.unionByName(search(block))
+    return out
+
+
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator[list[tuple[object, str]]]:
+    """Items in blocks of about BLOCK words; one empty block for an empty table."""
+    block, held, any_yet = [], 0, False
     for r in benchmark.select(F.col(item_col).alias("i"), text_of(item_text_col).alias("t")).toLocalIterator():
         block.append((r["i"], r["t"]))
         held += len(r["t"].split())
         if held >= BLOCK:
-            out, block, held = search(block) if out is None else out.unionByName(search(block)), [], 0
-    if block or out is None:
-        out = search(block) if out is None else out.unionByName(search(block))
-    return out
+            yield block
+            block, held, any_yet = [], 0, True
+    if block or not any_yet:
+        yield block
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of docs that leak no item, with all their columns; documents aren't shuffled."""
+    for block in _blocks(benchmark, item_col, item_text_col):
+        docs = docs.filter(~_leak_test(docs.sparkSession.sparkContext.broadcast(block))(text_of(text_col)))
+    return docs
+
+
+def _leak_test(sent: Broadcast):
+    @F.pandas_udf("boolean")
+    def leaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        items = Items(sent.value)
+        for b in batches:
+            texts = [t.encode() for t in b]
+            found = np.zeros(len(texts), bool)
+            for lo, hi in chunks(texts):
+                d = Templates(texts[lo:hi])
+                for (doc, item), diagonals in items.hits(d).items():
+                    found[lo + doc] = found[lo + doc] or items.judge(d, item, diagonals) is not None
+            yield pd.Series(found)
+
+    return leaks

@@ -7,7 +7,9 @@ sum-of-squares rule: with N(g) open bins of gap g, a piece goes where the sum of
 N(g)^2 over all gaps becomes smallest, into an open bin or a new one; full bins
 are closed and count no more.  Pieces come longest first.  Bins left more than
 ``SLACK`` of the capacity open are dissolved and their pieces come again, a few
-times over: the pieces that are left fit each other better each time.
+times over: the pieces that are left fit each other better each time.  All this is done
+twice, once opening a new bin wherever the rule says so and once only for pieces
+that no open bin has room for; the result with fewer bins counts.
 
 Packing runs in partitions of about ``ROUND_ROWS`` pieces, dealt evenly whatever
 their ids are.  State is one counter a gap and the open bins.  What a partition can't
@@ -80,8 +82,11 @@ def token_pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokeniz
     return rows.mapInPandas(run, f"`{id_col}` {id_type}, piece int, start long, length long, ids binary")
 
 
-def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bin, offset) of each piece; lengths in the order in which they come."""
+def sum_of_squares(lengths: np.ndarray, capacity: int, eager: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of each piece; lengths in the order in which they come.
+
+    eager: a new bin is a choice like any other; else the last one.
+    """
     open_bins: list[list[int]] = [[] for _ in range(capacity + 1)]  # by filled length
     n = np.zeros(2 * capacity + 1, dtype=np.int64)  # open bins by filled length; 0 and from capacity on none count
     bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
@@ -95,7 +100,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
             gain = n[size + 1 : size + top + 1] - n[1 : top + 1] + 1
             gain[-1] = -n[top]  # filled up and closed: half of -(2 N(h) - 1), rounded so that it comes first
             change[1:] = np.where(used, 2 * gain, change[1:])
-        change[0] = 2 * n[size] + 1 if size < capacity else -1
+        change[0] = np.iinfo(np.int64).max // 8 if not eager else 2 * n[size] + 1 if size < capacity else -1
         best = top - int(np.argmin(change[::-1]))  # of equals the fullest
         if best == 0:
             b, made = made, made + 1
@@ -111,11 +116,15 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 
 def pack_lengths(lengths: np.ndarray, capacity: int, again: int = AGAIN) -> tuple[np.ndarray, np.ndarray]:
     """(bin, offset) of each piece: sum of squares, longest first, over and over what isn't filled."""
+    return min((_repacked(lengths, capacity, again, eager) for eager in (True, False)), key=lambda x: x[0].max(initial=-1))
+
+
+def _repacked(lengths: np.ndarray, capacity: int, again: int, eager: bool) -> tuple[np.ndarray, np.ndarray]:
     bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     todo, made = np.arange(len(lengths)), 0
     for k in range(again + 1):
         todo = todo[np.argsort(-lengths[todo], kind="stable")]
-        own, at = sum_of_squares(lengths[todo], capacity)
+        own, at = sum_of_squares(lengths[todo], capacity, eager)
         full = (np.bincount(own, lengths[todo]) >= capacity * (1 - SLACK))[own] | (k == again)
         number = np.unique(own[full], return_inverse=True)[1]
         bins[todo[full]], offsets[todo[full]] = number + made, at[full]

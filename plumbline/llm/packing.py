@@ -97,10 +97,10 @@ def sum_of_squares(lengths: np.ndarray, capacity: int, eager: bool = True) -> tu
         change = np.full(top + 1, np.iinfo(np.int64).max // 4)
         used = n[1 : top + 1] > 0
         if top >= 1 and used.any():
-            gain = n[size + 1 : size + top + 1] - n[1 : top + 1] + 1
-            gain[-1] = -n[top]  # filled up and closed: half of -(2 N(h) - 1), rounded so that it comes first
-            change[1:] = np.where(used, 2 * gain, change[1:])
-        change[0] = np.iinfo(np.int64).max // 8 if not eager else 2 * n[size] + 1 if size < capacity else -1
+            grown = 2 * (n[size + 1 : size + top + 1] - n[1 : top + 1] + 1)
+            grown[-1] = 1 - 2 * n[top]  # filled up and closed
+            change[1:] = np.where(used, grown, change[1:])
+        change[0] = np.iinfo(np.int64).max // 8 if not eager else 2 * n[size] + 1 if size < capacity else 0
         best = top - int(np.argmin(change[::-1]))  # of equals the fullest
         if best == 0:
             b, made = made, made + 1

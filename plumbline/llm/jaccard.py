@@ -15,13 +15,15 @@ prefixes are then counted, so the pair can link only if
 What passes is verified by the same means on whole sets: cut by hash range,
 overlaps counted a fragment, summed a pair.
 
-A shingle with more than ``GROUP`` classes is not expanded to all pairs.  Its
-classes are first linked to the one with the smallest key and to their neighbours in order
-of size; links are verified and components made.  Pairs of its
-classes in different components then follow, with their full counts, and are
-verified too.  Pairs inside a component could only confirm it.  So no link
-between components is lost, and a group of thousands of near copies costs a few
-links a member.
+Pairs are verified in rounds.  The first takes each class's most promising
+partner; and a shingle with more than ``GROUP`` classes, which is not expanded to
+all pairs, adds its classes' pairs with ``LEADERS`` of them, those with the largest share
+of large shingles.  Components are made of the links found.  What is left between
+different components follows: other pairs, and for the large
+shingles the pairs of their classes, with full counts; again by the most promising
+partners while there are more pairs than classes, then all.  A pair inside a component
+could only confirm it.  So no link between components is lost, and a group of
+thousands of near copies costs a few links a member.
 
 The choice of common shingles, by counts within blocks of texts, decides the
 cost and never the result.
@@ -46,10 +48,13 @@ from plumbline.llm.components import components
 
 SHINGLE = 5
 GROUP = 24
+LEADERS = 6
+ROUNDS = 4
 MOST_COMMON = 100_000
 COUNT_BLOCK = 3_000_000
 FRAGMENT_ROWS = 2_000_000
 VERIFY_BITS = 2
+HELD = 400_000
 _ROW = np.dtype([("k", "<u8"), ("c", "<i8"), ("n", "<i4")])
 
 
@@ -145,14 +150,12 @@ def _size_filter(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     return 4 * np.minimum(na, nb).astype(np.int64) >= 3 * np.maximum(na, nb).astype(np.int64)
 
 
-def _all_pairs(group: np.ndarray, label: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (first, second) of rows of a group sorted by n whose sizes allow a link; of unlike labels if given."""
+def _all_pairs(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (first, second) of rows of a group sorted by n whose sizes allow a link."""
     n = group["n"].astype(np.int64)
     upto = np.searchsorted(n, (4 * n) // 3, "right")
     for i in range(len(group) - 1):
         j = np.arange(i + 1, upto[i])
-        if label is not None:
-            j = j[label[j] != label[i]]
         if len(j):
             yield np.full(len(j), i), j
 
@@ -182,7 +185,7 @@ def _summed(first: list[np.ndarray], second: list[np.ndarray], kind: int) -> Ite
 
 
 def _fragment_pairs(prefixes: DataFrame, fragments: int) -> DataFrame:
-    """kind 0: a pair's count in a fragment; 1: a link to try in a large group; 2: a row (shingle a, class b) of a large group."""
+    """kind 0: a pair's count in a fragment; 1: of class a, how many shingles are in small groups; 2: a row (shingle a, class b) of a large group."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blobs: dict[int, list[bytes]] = {}
@@ -194,7 +197,7 @@ def _fragment_pairs(prefixes: DataFrame, fragments: int) -> DataFrame:
             rows = rows[np.argsort(rows["k"], kind="stable")]
             edge = np.flatnonzero(np.concatenate(([True], rows["k"][1:] != rows["k"][:-1], [True]))) if len(rows) else np.zeros(1, np.int64)
             size = np.diff(edge)
-            first, second, held = [], [], 0
+            first, second, held, in_small = [], [], 0, []
             for at, m in zip(edge[:-1][size > 1], size[size > 1], strict=True):
                 group = rows[at : at + m]
                 group = group[np.unique(group["c"], return_index=True)[1]]  # a class may come from several tasks
@@ -202,51 +205,104 @@ def _fragment_pairs(prefixes: DataFrame, fragments: int) -> DataFrame:
                     continue
                 group = group[np.argsort(group["n"], kind="stable")]
                 if len(group) <= GROUP:
+                    in_small.append(group["c"])
                     for i, j in _all_pairs(group):
                         first.append(group[i])
                         second.append(group[j])
                         held += len(j)
-                    if held > 2_000_000:
+                    if held > HELD:
                         yield from _summed(first, second, 0)
                         first, second, held = [], [], 0
                     continue
-                lead = int(np.argmin(mix(group["c"].view(np.uint64))))
-                i = np.concatenate((np.full(len(group), lead), np.arange(len(group) - 1)))
-                j = np.concatenate((np.arange(len(group)), np.arange(1, len(group))))
-                own = (i != j) & _size_filter(group["n"][i], group["n"][j])
-                yield from _summed([group[i[own]]], [group[j[own]]], 1) if own.any() else ()
                 yield _pair_frame(2, group["k"].view(np.int64), group["c"], group["n"], group["n"], 1)
             yield from _summed(first, second, 0)
+            if in_small:
+                c, n = np.unique(np.concatenate(in_small), return_counts=True)
+                yield _pair_frame(1, c, c, n, n, n)
 
     return prefixes.repartition(fragments, "part").mapInPandas(run, _PAIRS)
 
 
-def _cross_pairs(rows: DataFrame, count: int) -> DataFrame:
-    """Counts of pairs of classes with unlike roots within a large group; rows: a shingle, b class, na size, root."""
+def _leader_pairs(rows: DataFrame, count: int) -> DataFrame:
+    """Pairs of a large group's classes with its most typical ones; rows: a shingle, b class, na size, s score."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [b for b in batches if len(b)]
         if not held:
             return
-        d = pd.concat(held, ignore_index=True)
-        first, second, size = [], [], 0
-        for k, own in d.groupby("a", sort=False):
-            if own["root"].nunique() < 2:
-                continue
-            own = own.sort_values("na", kind="stable")
-            group = np.empty(len(own), _ROW)
-            group["k"], group["c"], group["n"] = 0, own["b"], own["na"]
-            label = own["root"].to_numpy()
-            for i, j in _all_pairs(group, label):
-                first.append(group[i])
-                second.append(group[j])
-                size += len(j)
-                if size > 2_000_000:
-                    yield from _summed(first, second, 0)
-                    first, second, size = [], [], 0
-        yield from _summed(first, second, 0)
-
-    return rows.repartition(max(1, count), "a").mapInPandas(run, _PAIRS)
+        d = pd.concat(held, ignore_index=True).sort_values(["a", "s", "b"], ascending=[True, False, True], ignore_index=True)
+        c, n, of = d["b"].to_numpy(), d["na"].to_numpy(), d["a"].to_numpy()
+        edge = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1], [True])))
+        done: list[np.ndarray] = []
+        for x, y in zip(edge, edge[1:], strict=False):
+            k = min(LEADERS, y - x)
+            i, j = np.repeat(np.arange(x, x + k), y - x), np.tile(np.arange(x, y), k)
+            own = (c[i] != c[j]) & _size_filter(n[i], n[j])
+            i, j = i[own], j[own]
+            swap = c[i] > c[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            done.append(np.unique(np.stack((c[i], c[j], n[i], n[j]), axis=1), axis=0))
+            if sum(map(len, done)) > HELD:
+                done = [np.unique(np.concatenate(done), axis=0)]
+        if done:
+            yield pd.DataFrame(np.unique(np.concatenate(done), axis=0), columns=["a", "b", "na", "nb"])
+
+    return rows.repartition(max(1, count), "a").mapInPandas(run, "a long, b long, na int, nb int")
+
+
+def _cross_pairs(rows: DataFrame, count: int) -> DataFrame:
+    """Pairs of unlike roots within large groups, once each, with their common large shingles.
+
+    rows: a shingle, b class, na size, root, own (all large shingles of the
+    class, sorted), other (how many of its shingles are in small groups).  A pair belongs to its smallest common one.  Pairs that can't link even
+    if all the others that are shared with any class were common are left out.
+    """
+
+    def group_pairs(d: pd.DataFrame, token: int) -> Iterator[pd.DataFrame]:
+        d = d.sort_values("b", ignore_index=True)
+        c, n, root = d["b"].to_numpy(), d["na"].to_numpy().astype(np.int64), d["root"].to_numpy()
+        size = d["own"].map(len).to_numpy()
+        flat = np.concatenate(d["own"].to_numpy())
+        tokens, place = np.unique(flat, return_inverse=True)
+        at = int(np.searchsorted(tokens, token))
+        row = np.repeat(np.arange(len(d)), size)
+        rest, other = n - prefix_length(n), d["other"].to_numpy().astype(np.int64)
+        roots, times = np.unique(root, return_counts=True)
+        main = root == roots[np.argmax(times)]
+        some = np.flatnonzero(~main)
+
+        def dense(rows: np.ndarray) -> np.ndarray:
+            lookup = np.full(len(d), -1)
+            lookup[rows] = np.arange(len(rows))
+            own = lookup[row] >= 0
+            m = np.zeros((len(rows), len(tokens)), np.float32)
+            m[lookup[row[own]], place[own]] = 1
+            return m
+
+        for y in range(0, len(d), 2048):
+            right = np.arange(y, min(y + 2048, len(d)))
+            there = dense(right)
+            for x in range(0, len(some), 512):
+                left = some[x : x + 512]
+                here = dense(left)
+                both = here @ there.T
+                fits = (root[left][:, None] != root[right]) & (main[right] | (left[:, None] < right))
+                fits &= 4 * np.minimum(n[left][:, None], n[right]) >= 3 * np.maximum(n[left][:, None], n[right])
+                fits &= 7 * (both + np.minimum(other[left][:, None], other[right]) + np.maximum(rest[left][:, None], rest[right])) >= 3 * (n[left][:, None] + n[right])
+                fits &= here[:, :at] @ there[:, :at].T == 0
+                i, j = np.nonzero(fits)
+                if len(i):
+                    p, q = left[i], right[j]
+                    p, q = np.minimum(p, q), np.maximum(p, q)
+                    yield pd.DataFrame({"a": c[p], "b": c[q], "na": n[p].astype(np.int32), "nb": n[q].astype(np.int32), "n": both[i, j].astype(np.int64)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [b for b in batches if len(b)]
+        if held:
+            for token, d in pd.concat(held, ignore_index=True).groupby("a", sort=False):
+                yield from group_pairs(d, token)
+
+    return rows.repartition(max(1, count), "a").mapInPandas(run, "a long, b long, na int, nb int, n long")
 
 
 def _can_link() -> Column:
@@ -286,6 +342,21 @@ def verified(pairs: DataFrame, cuts: DataFrame) -> DataFrame:
     return total.filter(100 * F.col("n") >= 75 * (F.col("na") + F.col("nb") - F.col("n"))).select("a", "b")
 
 
+def _best(pairs: DataFrame) -> DataFrame:
+    """For each class the pair with the largest share of common shingles."""
+    x = F.struct((F.col("n") / (F.col("na") + F.col("nb"))).alias("s"), "a", "b", "na", "nb").alias("x")
+    ends = pairs.select(F.col("a").alias("c"), x).unionByName(pairs.select(F.col("b").alias("c"), x))
+    return ends.groupBy("c").agg(F.max("x").alias("x")).select("x.a", "x.b", "x.na", "x.nb").distinct()
+
+
+def _between(pairs: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
+    """Pairs of classes in different components, and their number."""
+    for x in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")), x, "left")
+    out = materialize(pairs.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b", "na", "nb", "n"))
+    return out, out.count()
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id (the smallest id reachable by links)."""
     spark = docs.sparkSession
@@ -299,22 +370,37 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shingles = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     fragments = max(8, parts(shingles // 4, FRAGMENT_ROWS))
 
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tried = materialize(_fragment_pairs(_prefixes(rows, last, fragments), fragments))
-    small = tried.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n"))
-    stars = tried.filter("kind = 1").select("a", "b", "na", "nb").distinct()
-    pairs = materialize(small.filter(_can_link()).select("a", "b", "na", "nb").unionByName(stars).distinct())
+    counted = tried.filter("kind = 0").select("a", "b", "na", "nb", "n")
+    likely = materialize(counted.groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n")).filter(_can_link()))
     large = tried.filter("kind = 2").select("a", "b", "na")
-    ends = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).union(large.select("b")).distinct()
+    typical = large.groupBy("b").agg((F.count(F.lit(1)) / F.first("na")).alias("s"))
+    leaders = _leader_pairs(large.join(typical, "b"), tasks)
+    pairs = materialize(_best(likely).unionByName(leaders).distinct())
+
+    ends = likely.select(F.col("a").alias("c")).union(likely.select("b")).union(large.select("b")).distinct()
     needed = classes.join(ends, "c", "left_semi").select("row")
-    cuts = materialize(_token_cuts(rows.join(needed, "row", "left_semi")).dropDuplicates(["c", "part"]))
+    cuts = materialize(_token_cuts(rows.join(needed, "row", "left_semi")))
     links = materialize(verified(pairs, cuts))
-    if large.limit(1).count():
-        roots = components(links)
-        known = large.join(roots.select(F.col("node").alias("b"), "root"), "b", "left").select("a", "b", "na", F.coalesce("root", "b").alias("root"))
-        cross = materialize(_cross_pairs(known, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-        both = cross.select("a", "b", "na", "nb", "n", F.lit(1).alias("x")).unionByName(tried.filter("kind = 0").select("a", "b", "na", "nb", "n", F.lit(0).alias("x")))
-        more = both.groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n"), F.max("x").alias("x")).filter((F.col("x") == 1) & _can_link())
-        more = more.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+
+    roots = materialize(components(links))
+    known = large.join(roots.select(F.col("node").alias("b"), "root"), "b", "left").select("a", "b", "na", F.coalesce("root", "b").alias("root"))
+    mixed = known.groupBy("a").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("a")
+    known = materialize(known.join(mixed, "a", "left_semi"))
+    lists = known.groupBy("b").agg(F.sort_array(F.collect_list("a")).alias("own"))
+    others = tried.filter("kind = 1").groupBy(F.col("a").alias("b")).agg(F.sum("n").alias("other"))
+    cross = _cross_pairs(known.join(lists, "b").join(others, "b", "left").fillna(0, ["other"]), tasks)
+    more = cross.unionByName(counted.withColumn("n", F.col("n").cast("long"))).groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n")).filter(_can_link())
+    more, left = _between(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), roots)
+    for _ in range(ROUNDS):
+        if left <= ends.count():
+            break
+        pairs = materialize(_best(more))
+        links = links.unionByName(materialize(verified(pairs, cuts)))
+        roots = materialize(components(links))
+        more, left = _between(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), roots)
+    if left:
         links = links.unionByName(materialize(verified(more, cuts)))
     roots = components(links)
     named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))

@@ -1 +1,69 @@
+"""Readers of state files, embedded constants and other untrusted input."""
 
+from __future__ import annotations
+
+import json
+import re
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def read_sidecar(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A JSON lines file; a missing path is an empty table, a broken line a null row."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+
+
+def sanitised(rows: DataFrame, rules: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows with the first rule they break); rules are SQL tests by name."""
+    reason = F.coalesce(*[F.when(~F.coalesce(F.expr(test), F.lit(False)), name) for name, test in rules.items()])
+    d = rows.withColumn("reason", reason)
+    return d.filter("reason is null").drop("reason"), d.filter("reason is not null")
+
+
+_COMMENT = re.compile(r'("(?:[^"\\]|\\.)*"|\'(?:[^\'\\]|\\.)*\')|//[^\n]*|/\*.*?\*/', re.S)
+_TRAILING = re.compile(r'("(?:[^"\\]|\\.)*")|,(?=\s*[\]}])', re.S)
+
+
+def constant(text: str | None, name: str) -> list | None:
+    """The value of ``const name = [...]`` in a script; brackets in strings don't count."""
+    m = re.search(rf"\b(?:const|let|var)\s+{re.escape(name)}\s*=\s*\[", text or "")
+    if not m:
+        return None
+    body = _COMMENT.sub(lambda x: x[1] or "", text[m.end() - 1 :])
+    depth, quote, i = 0, "", 0
+    while i < len(body):
+        c = body[i]
+        if quote:
+            i += c == "\\"
+            quote = "" if c == quote else quote
+        elif c in "\"'":
+            quote = c
+        elif c in "[{":
+            depth += 1
+        elif c in "]}":
+            depth -= 1
+            if not depth:
+                break
+        i += 1
+    try:
+        return json.loads(_TRAILING.sub(lambda x: x[1] or "", body[: i + 1]))
+    except ValueError:
+        return None
+
+
+def embedded_rows(scripts: DataFrame, column: str, name: str) -> DataFrame:
+    """Rows of the constant as arrays of JSON texts, one row each."""
+
+    @F.pandas_udf("array<array<string>>")
+    def rows(texts: pd.Series) -> pd.Series:
+        def one(t: str | None) -> list[list[str]]:
+            return [[x if isinstance(x, str) else json.dumps(x) for x in r] for r in constant(t, name) or [] if isinstance(r, list)]
+
+        return texts.map(one)
+
+    return scripts.select(F.explode(rows(column)).alias("row"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontamination, jaccard, language, licenses, packing, quality, repeats, secrets, sharding, url_rules
+from plumbline.llm import decontamination, jaccard, language, licenses, oracles, packing, quality, repeats, secrets, sharding, url_rules
 
 URL_RULES: tuple[url_rules.Rule, ...] = (
     ("block", "com", "/en/"),
@@ -25,7 +25,8 @@ def op1_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge_quality(_table(spark, sf_dir, "documents"))
+    d = quality.judge_quality(_table(spark, sf_dir, "documents"))
+    return d.withColumns({c: F.round(c, 4) for c in ("js_classes", "js_common")})
 
 
 def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +74,10 @@ def op10_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_sum_of_squares, op2_divergence_rules, op3_interleaved_shards, op4_patience_licenses, op5_blob_ledger, op6_url_intervals, op7_fragment_join, op8_language_bitmasks, op9_repeated_bytes, op10_template_windows)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_divergence_rules": oracles.quality_sql(),
+    "op3_interleaved_shards": oracles.SHARDS,
+    "op5_blob_ledger": oracles.secrets_sql(),
+    "op6_url_intervals": oracles.urls_sql(URL_RULES),
+    "op7_fragment_join": oracles.JACCARD,
+}

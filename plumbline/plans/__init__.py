@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: tuple[str, ...] = ("listings", "checks", "titles")
+MODULES: tuple[str, ...] = ("listings", "checks", "titles", "programme")
 
 
 def load() -> None:

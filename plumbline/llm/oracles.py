@@ -73,3 +73,13 @@ p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b ON a.
 l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 75 * (na.n_shingles + nb.n_shingles - k)),
 s AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (SELECT doc_id, doc_id AS reach FROM n UNION SELECT r.doc_id, s.b FROM r JOIN s ON s.a = r.reach)
 SELECT doc_id, n_shingles, min(reach) AS component_id FROM r JOIN n USING (doc_id) GROUP BY 1, 2"""
+
+
+REPEATS = """WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+w AS (SELECT doc_id, p, md5(substr(hx, 2 * p + 1, 200)) AS h FROM d, unnest(range(0, octet_length(b) - 99)) u(p)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) AS n FROM w) WHERE n > 1),
+g AS (SELECT doc_id, p, sum(CASE WHEN p - 100 <= prev THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS prev FROM r)),
+s AS (SELECT doc_id, k, min(p) AS lo, max(p) + 100 AS hi FROM g GROUP BY 1, 2),
+x AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS since FROM s),
+k AS (SELECT d.doc_id, count(lo) AS n_spans, coalesce(sum(hi - lo), 0)::BIGINT AS n_removed, coalesce(string_agg(substr(hx, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo), '') AS head, coalesce(max(hi), 0) AS upto FROM d LEFT JOIN x ON x.doc_id = d.doc_id GROUP BY 1)
+SELECT doc_id, octet_length(b) AS n_bytes, n_removed, n_spans, sha256(unhex(head || substr(hx, 2 * upto + 1))) AS kept_sha256 FROM d JOIN k USING (doc_id)"""

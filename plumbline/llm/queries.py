@@ -80,4 +80,5 @@ ORACLES: dict[str, str] = {
     "op5_blob_ledger": oracles.secrets_sql(),
     "op6_url_intervals": oracles.urls_sql(URL_RULES),
     "op7_fragment_join": oracles.JACCARD,
+    "op9_repeated_bytes": oracles.REPEATS,
 }

@@ -6,7 +6,9 @@ import atexit
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +20,7 @@ def work_dir(spark: SparkSession) -> str:
 
     Where the session names none (local tests) a temporary folder is set.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir") or spark.conf.get("plumbline.work.dir", None)
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("plumbline.work.dir", None)
     if not path:
         path = "file://" + tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("plumbline.work.dir", path)
@@ -38,13 +39,26 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation.
-    Removed when the driver's process ends.
+    Removed by release(), or when the driver's process ends.
     """
     spark = df.sparkSession
+    # the driver's collector lets go of the shuffle files of finished steps
+    spark._jvm.System.gc()
     path = f"{work_dir(spark)}/plumbline/{uuid.uuid4().hex}"
     df.write.parquet(path)
     _made.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._plumbline_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables of materialize() that nothing reads any more."""
+    for t in tables:
+        path = t.__dict__.pop("_plumbline_path", None)
+        if path:
+            _made.remove((t.sparkSession, path))
+            _remove(t.sparkSession, path)
 
 
 def discard_all() -> None:
@@ -60,6 +74,13 @@ def parts(rows: int, per_part: int, most: int = 1 << 16) -> int:
     return max(1, min(most, math.ceil(rows / per_part)))
 
 
+def slices(batches: Iterator[pd.DataFrame], rows: int = 1024) -> Iterator[pd.DataFrame]:
+    """Batches in parts of so many rows, which bounds what a worker makes of them at once."""
+    for b in batches:
+        for lo in range(0, len(b), rows):
+            yield b.iloc[lo : lo + rows]
+
+
 def text_of(name: str) -> Column:
     """The text column, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 #: bytes of text that are hashed at once, longer texts aside
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)

@@ -21,7 +21,7 @@ all pairs, adds its classes' pairs with ``LEADERS`` of them, those with the larg
 of large shingles.  Components are made of the links found.  What is left between
 different components follows: other pairs, and for the large
 shingles the pairs of their classes, with full counts; again by the most promising
-partners while there are more pairs than classes, then all.  A pair inside a component
+partners while there are more than four pairs a class, then all.  A pair inside a component
 could only confirm it.  So no link between components is lost, and a group of
 thousands of near copies costs a few links a member.
 
@@ -42,13 +42,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm._shared import materialize, parts, text_of
+from plumbline.llm._shared import materialize, parts, release, slices, text_of
 from plumbline.llm._words import mix, shingle_sets
 from plumbline.llm.components import components
 
 SHINGLE = 5
 GROUP = 24
-LEADERS = 6
+LEADERS = 4
 ROUNDS = 4
 MOST_COMMON = 100_000
 COUNT_BLOCK = 3_000_000
@@ -92,7 +92,7 @@ def signatures(rows: DataFrame, id_type: str) -> DataFrame:
             own = n >= 3
             return pd.DataFrame({"__id": pd.Series([None] * int(own.sum()), dtype=object), "row": pd.Series([None] * int(own.sum()), dtype="Int64"), "n": n[own].astype(np.int32), "c": pd.Series(t[own].view(np.int64), dtype="Int64")})
 
-        for b in batches:
+        for b in slices(batches):
             n, c = np.zeros(len(b), np.int32), [None] * len(b)
             for i, s in _sets(b):
                 n[i] = len(s)
@@ -119,7 +119,7 @@ def _prefixes(rows: DataFrame, common: list[int], fragments: int) -> DataFrame:
         order = np.argsort(last)
         known, rank = last[order], np.uint64(1 << 63) + order.astype(np.uint64)
         seen: set[int] = set()
-        for b in batches:
+        for b in slices(batches):
             out: list[np.ndarray] = []
             for _, s in _sets(b):
                 if not len(s) or (c := class_key(s)) in seen:
@@ -312,33 +312,39 @@ def _can_link() -> Column:
 
 
 def _token_cuts(rows: DataFrame) -> DataFrame:
-    """c, part, data: every class's shingles, cut by hash range."""
+    """c, cuts: every class's shingles, cut by hash range."""
     shift = np.uint64(63 - VERIFY_BITS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in slices(batches):
             out = []
             for _, s in _sets(b):
                 if len(s):
-                    c, cut = class_key(s), np.searchsorted(s >> shift, np.arange((1 << VERIFY_BITS) + 1))
-                    out += [(c, p, s[x:y].tobytes()) for p, (x, y) in enumerate(zip(cut, cut[1:], strict=False)) if y > x]
-            yield pd.DataFrame(out, columns=["c", "part", "data"])
+                    cut = np.searchsorted(s >> shift, np.arange((1 << VERIFY_BITS) + 1))
+                    out.append((class_key(s), [s[x:y].tobytes() for x, y in zip(cut, cut[1:], strict=False)]))
+            yield pd.DataFrame(out, columns=["c", "cuts"])
 
-    return rows.select("__text").mapInPandas(run, "c long, part int, data binary")
+    return rows.select("__text").mapInPandas(run, "c long, cuts array<binary>")
 
 
 def verified(pairs: DataFrame, cuts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link: overlaps counted a fragment, summed a pair."""
+    """The pairs (a, b) whose sets link: overlaps counted a fragment, summed a pair.
+
+    Both joins deal the sets by class, so they are dealt once; and they do so
+    whatever the number of pairs is: the plan is the same for any input.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for d in batches:
-            n = [len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True)) for x, y in zip(d["data_a"], d["data_b"], strict=True)]
-            yield pd.DataFrame({"a": d["a"], "b": d["b"], "na": d["na"], "nb": d["nb"], "n": np.array(n, np.int64)})
-
-    left = pairs.select("a", "b", "na", "nb").join(cuts.select(F.col("c").alias("a"), "part", F.col("data").alias("data_a")), "a")
-    both = left.join(cuts.select(F.col("c").alias("b"), "part", F.col("data").alias("data_b")), ["b", "part"])
-    counts = both.select("a", "b", "na", "nb", "data_a", "data_b").mapInPandas(run, "a long, b long, na int, nb int, n long")
-    total = counts.groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n"))
+            n = np.zeros(len(d), np.int64)
+            for i, (x, y) in enumerate(zip(d["cuts_a"], d["cuts_b"], strict=True)):
+                n[i] = sum(len(np.intersect1d(np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8"), assume_unique=True)) for p, q in zip(x, y, strict=True))
+            yield pd.DataFrame({"a": d["a"], "b": d["b"], "na": d["na"], "nb": d["nb"], "n": n})
+
+    sets = cuts.hint("merge")
+    both = pairs.select("a", "b", "na", "nb").join(sets.select(F.col("c").alias("a"), F.col("cuts").alias("cuts_a")), "a")
+    both = both.join(sets.select(F.col("c").alias("b"), F.col("cuts").alias("cuts_b")), "b")
+    total = both.select("a", "b", "na", "nb", "cuts_a", "cuts_b").mapInPandas(run, "a long, b long, na int, nb int, n long")
     return total.filter(100 * F.col("n") >= 75 * (F.col("na") + F.col("nb") - F.col("n"))).select("a", "b")
 
 
@@ -381,7 +387,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     ends = likely.select(F.col("a").alias("c")).union(likely.select("b")).union(large.select("b")).distinct()
     needed = classes.join(ends, "c", "left_semi").select("row")
-    cuts = materialize(_token_cuts(rows.join(needed, "row", "left_semi")))
+    # texts are dealt by row whatever the size of the other side: the plan is the same for any input
+    cuts = materialize(_token_cuts(rows.join(needed.hint("merge"), "row", "left_semi")))
     links = materialize(verified(pairs, cuts))
 
     roots = materialize(components(links))
@@ -393,16 +400,22 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     cross = _cross_pairs(known.join(lists, "b").join(others, "b", "left").fillna(0, ["other"]), tasks)
     more = cross.unionByName(counted.withColumn("n", F.col("n").cast("long"))).groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n")).filter(_can_link())
     more, left = _between(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), roots)
+    done = [tried, likely, pairs, cuts, links, roots, known, more]
     for _ in range(ROUNDS):
-        if left <= ends.count():
+        if left <= 4 * ends.count():
             break
         pairs = materialize(_best(more))
-        links = links.unionByName(materialize(verified(pairs, cuts)))
+        found_links = materialize(verified(pairs, cuts))
+        links = links.unionByName(found_links)
         roots = materialize(components(links))
         more, left = _between(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), roots)
+        done += [pairs, found_links, roots, more]
     if left:
-        links = links.unionByName(materialize(verified(more, cuts)))
+        rest = materialize(verified(more, cuts))
+        links = links.unionByName(rest)
+        done.append(rest)
     roots = components(links)
+    release(*done)
     named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     smallest = named.groupBy("root").agg(F.min("__id").alias("component_id"))
     named = named.join(smallest, "root").select("c", "component_id")

@@ -150,9 +150,10 @@ class Items:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """A row for each document and item it leaks: ids, item_words, covered words, longest run, slots, kind."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__text"))
-    types = rows.schema["__id"].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
-    schema = f"`{id_col}` {types[0]}, `{item_col}` {types[1]}, item_words long, covered_words long, longest_run long, slots long, kind string"
+    # ids travel as text: pandas would make numbers with nulls among them inexact
+    rows = docs.select(F.col(id_col).cast("string").alias("__id"), text_of(text_col).alias("__text"))
+    types = {id_col: docs.schema[id_col].dataType, item_col: benchmark.schema[item_col].dataType}
+    schema = f"`{id_col}` string, `{item_col}` string, item_words long, covered_words long, longest_run long, slots long, kind string"
     columns = [id_col, item_col, "item_words", "covered_words", "longest_run", "slots", "kind"]
 
     def search(block: list[tuple[object, str]]) -> DataFrame:
@@ -171,7 +172,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     if out:
                         yield pd.DataFrame(out, columns=columns)
 
-        return rows.mapInPandas(run, schema)
+        return rows.mapInPandas(run, schema).withColumns({c: F.col(c).cast(t) for c, t in types.items()})
 
     out = None
     for block in _blocks(benchmark, item_col, item_text_col):
@@ -182,7 +183,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator[list[tuple[object, str]]]:
     """Items in blocks of about BLOCK words; one empty block for an empty table."""
     block, held, any_yet = [], 0, False
-    for r in benchmark.select(F.col(item_col).alias("i"), text_of(item_text_col).alias("t")).toLocalIterator():
+    for r in benchmark.select(F.col(item_col).cast("string").alias("i"), text_of(item_text_col).alias("t")).toLocalIterator():
         block.append((r["i"], r["t"]))
         held += len(r["t"].split())
         if held >= BLOCK:

@@ -80,7 +80,7 @@ def _distinct63(sets: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
         yield s
 
 
-def signatures(rows: DataFrame, id_type: str) -> DataFrame:
+def signatures(rows: DataFrame) -> DataFrame:
     """A row a text: __id, row, n, c (class, null for an empty set); and with row null: c a shingle, n its texts in a block."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,7 +107,9 @@ def signatures(rows: DataFrame, id_type: str) -> DataFrame:
         if held:
             yield common()
 
-    return rows.mapInPandas(run, f"__id {id_type}, row long, n int, c long")
+    # ids travel as text: pandas would make numbers with nulls among them inexact
+    out = rows.select(F.col("__id").cast("string").alias("__id"), "__text", "row").mapInPandas(run, "__id string, row long, n int, c long")
+    return out.withColumn("__id", F.col("__id").cast(rows.schema["__id"].dataType))
 
 
 def _prefixes(rows: DataFrame, common: list[int], fragments: int) -> DataFrame:
@@ -367,7 +369,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """id, n_shingles, component_id (the smallest id reachable by links)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__text")).withColumn("row", F.xxhash64("__id", "__text"))
-    found = materialize(signatures(rows, rows.schema["__id"].dataType.simpleString()))
+    found = materialize(signatures(rows))
     texts = found.filter("row is not null")
     common = found.filter("row is null").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(MOST_COMMON)
     # the most frequent at the end of the order

@@ -143,7 +143,8 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = NOTICES, id_co
     """A row for each text and template found in it: id, license, found (regions), coverage, first_word and last_word of the best."""
     if sum(len(t.split()) for t in templates.values()) > MOST_WORDS:
         raise ValueError(f"templates of more than {MOST_WORDS} words")
-    rows = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__text"))
+    # ids travel as text: pandas would make numbers with nulls among them inexact
+    rows = docs.select(F.col(id_col).cast("string").alias("__id"), text_of(text_col).alias("__text"))
     sent = docs.sparkSession.sparkContext.broadcast(dict(templates))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,5 +156,5 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = NOTICES, id_co
                 if out:
                     yield pd.DataFrame(out, columns=[id_col, "license", "found", "coverage", "first_word", "last_word"])
 
-    kind = rows.schema["__id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"`{id_col}` {kind}, license string, found long, coverage double, first_word long, last_word long")
+    found = rows.mapInPandas(run, f"`{id_col}` string, license string, found long, coverage double, first_word long, last_word long")
+    return found.withColumn(id_col, F.col(id_col).cast(docs.schema[id_col].dataType))

@@ -83,8 +83,9 @@ def sweep(pages: Iterable[tuple[str, str]], rules: Sequence[tuple[str, list[tupl
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url", default: str = "allow", broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
     """id_col, host, path, rule (null if none fits), verdict (the rule's, else default)."""
     host, path = url_host(F.col(url_col)), url_path(F.col(url_col))
-    rows = pages.select(F.col(id_col), host.alias("host"), path.alias("path")).withColumn("__key", host_key(F.col("host")))
-    out = rows.drop("__key").schema.simpleString()[7:-1] + ",rule:string,verdict:string"
+    # ids travel as text: pandas would make numbers with nulls among them inexact
+    rows = pages.select(F.col(id_col).cast("string").alias(id_col), host.alias("host"), path.alias("path")).withColumn("__key", host_key(F.col("host")))
+    out, id_type = f"`{id_col}` string, host string, path string, rule string, verdict string", pages.schema[id_col].dataType
     table = _grouped(rules)
 
     def swept(batches: Iterator[pd.DataFrame], own: Sequence) -> Iterator[pd.DataFrame]:
@@ -105,7 +106,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
 
     if len(rules) <= broadcast_rules:
         sent = pages.sparkSession.sparkContext.broadcast(table)
-        return rows.sortWithinPartitions("__key").mapInPandas(lambda it: swept((b for b in it if len(b)), sent.value), out)
+        judged = rows.sortWithinPartitions("__key").mapInPandas(lambda it: swept((b for b in it if len(b)), sent.value), out)
+        return judged.withColumn(id_col, F.col(id_col).cast(id_type))
 
     # ranges of rules; each has the chain of rules that are open at its lower end
     starts = list(range(0, len(table), RANGE_RULES))
@@ -139,4 +141,4 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
         found = list(sweep(zip(left["__key"], left["path"], strict=True), sorted(own.items())))
         return left.drop(columns=["__key", "__range", "__salt"]).assign(rule=[r for r, _ in found], verdict=[v or default for _, v in found])
 
-    return rows.groupBy("__range", "__salt").cogroup(entries.groupBy("__range", "__salt")).applyInPandas(one, out)
+    return rows.groupBy("__range", "__salt").cogroup(entries.groupBy("__range", "__salt")).applyInPandas(one, out).withColumn(id_col, F.col(id_col).cast(id_type))

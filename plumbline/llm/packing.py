@@ -38,9 +38,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm._shared import materialize, parts, text_of
+from plumbline.llm._shared import materialize, parts, release, text_of
 
-ROUND_ROWS = 20_000
+ROUND_ROWS = 10_000
 ROUNDS = 3
 AGAIN = 5
 SLACK = 4 / 1024
@@ -62,8 +62,9 @@ def encoding(name: str = RANKS):
 
 def token_pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer: str = RANKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, piece, start, length, ids (little-endian unsigned 32-bit, as binary)."""
-    rows = docs.select(F.col(id_col), text_of(text_col).alias("__text"))
-    id_type = rows.schema[id_col].dataType.simpleString()
+    # ids travel as text: pandas would make numbers with nulls among them inexact
+    rows = docs.select(F.col(id_col).cast("string").alias(id_col), text_of(text_col).alias("__text"))
+    id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoding(tokenizer).encode_ordinary
@@ -79,7 +80,7 @@ def token_pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokeniz
                     out += [(doc, k, x, y - x, ids[4 * x : 4 * y]) for k, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False))]
                 yield pd.DataFrame(out, columns=[id_col, "piece", "start", "length", "ids"])
 
-    return rows.mapInPandas(run, f"`{id_col}` {id_type}, piece int, start long, length long, ids binary")
+    return rows.mapInPandas(run, f"`{id_col}` string, piece int, start long, length long, ids binary").withColumn(id_col, F.col(id_col).cast(id_type))
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int, eager: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +138,9 @@ def _repacked(lengths: np.ndarray, capacity: int, again: int, eager: bool) -> tu
 
 def _round(pieces: DataFrame, rows: int, capacity: int, number: int) -> DataFrame:
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset", "__filled")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name in columns) + ", sequence_id long, offset long, __filled long"
+    kinds = {f.name: f.dataType.simpleString() for f in pieces.schema if f.name in columns}
+    whole = [c for c, kind in kinds.items() if kind in ("bigint", "int", "smallint", "tinyint") and c != "length"]
+    schema = ", ".join(f"`{c}` {'string' if c in whole else kind}" for c, kind in kinds.items()) + ", sequence_id long, offset long, __filled long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [b for b in batches if len(b)]
@@ -148,7 +151,8 @@ def _round(pieces: DataFrame, rows: int, capacity: int, number: int) -> DataFram
         base = (number << 58) + (TaskContext.get().partitionId() << 34)
         yield all_rows.assign(sequence_id=bins + base, offset=offsets, __filled=np.bincount(bins, all_rows["length"].to_numpy()).astype(np.int64)[bins])
 
-    return pieces.select(*columns).repartition(parts(rows, ROUND_ROWS)).mapInPandas(run, schema)
+    dealt = pieces.select(*[F.col(c).cast("string").alias(c) if c in whole else c for c in columns]).repartition(parts(rows, ROUND_ROWS))
+    return dealt.mapInPandas(run, schema).withColumns({c: F.col(c).cast(kinds[c]) for c in whole})
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = 1024, rounds: int = ROUNDS) -> DataFrame:
@@ -164,7 +168,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = 1024, rounds: int = ROUNDS) -
         if number == rounds or parts(rows, ROUND_ROWS) == 1:
             done = packed if done is None else done.unionByName(packed)
             break
-        packed = materialize(packed)
+        packed, old = materialize(packed), todo
+        release(old)
         closed = F.col("__filled") >= capacity * (1 - SLACK)
         done = packed.filter(closed) if done is None else done.unionByName(packed.filter(closed))
         todo = packed.filter(~closed)

@@ -156,6 +156,19 @@ def test_decontamination(spark, docs, none):
     assert decontamination.drop_leaks(docs, items.limit(0)).count() == len(ROWS)
 
 
+def test_large_ids_beside_null(spark):
+    big = (1 << 62) + 1
+    d = spark.createDataFrame([(big, "All rights reserved. one two three four five"), (None, "x")], "doc_id long, text string")
+    items = spark.createDataFrame([(big, "All rights reserved. one two three four five"), (None, "")], "item_id long, text string")
+    assert {r["doc_id"] for r in packing.pack_documents(d).collect()} == {big, None}
+    assert {r["doc_id"] for r in licenses.scan_licenses(d).collect()} == {big}
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(d, items).collect()} == {(big, big)}
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard.similar_components(d).collect()} == {(big, big), (None, None)}
+    assert {r["doc_id"] for r in repeats.remove_repeats(d).collect()} == {big, None}
+    pages = d.select(F.col("doc_id").alias("page_id"), F.lit("http://a.com/").alias("url"))
+    assert {r["page_id"] for few in (9, 0) for r in url_rules.judge_urls(pages, [("block", "com", "/")], broadcast_rules=few).collect()} == {big, None}
+
+
 def test_stages(spark, docs, none, tmp_path):
     spark.createDataFrame([(1, "nothing of the kind")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for start in (docs, none):

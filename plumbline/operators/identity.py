@@ -67,9 +67,19 @@ def choose(found: DataFrame) -> DataFrame:
 
 
 def suspects(keys: DataFrame, block: str, key: str = "key", most: int = 2) -> DataFrame:
-    """Pairs of different keys within most edits in a block, for a human to look at."""
+    """Pairs of different keys within most edits (2 at most) in a block, for a human to look at.
+
+    Keys meet at what is left of them after as many deletions; a block's keys are not paired off.
+    """
+
+    def gone(x: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(x), F.lit(1))), lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x))))
+
     d = keys.select(block, key).distinct()
-    pairs = d.withColumnRenamed(key, "a").join(d.withColumnRenamed(key, "b"), block).filter("a < b")
+    once = gone(F.col(key))
+    left = F.concat(F.array(F.col(key)), once, F.flatten(F.transform(once, gone))) if most > 1 else F.concat(F.array(F.col(key)), once)
+    near = d.withColumn("variant", F.explode(F.array_distinct(left)))
+    pairs = near.withColumnRenamed(key, "a").join(near.withColumnRenamed(key, "b"), [block, "variant"]).filter("a < b").select(block, "a", "b").distinct()
     return pairs.withColumn("distance", F.levenshtein("a", "b", most)).filter("distance >= 0")
 
 

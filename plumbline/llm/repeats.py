@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm._shared import materialize, text_of
+from plumbline.llm._shared import materialize, slices, text_of
 from plumbline.llm._words import BYTE, _power, chunks, mix
 from plumbline.llm.suffixes import equal_next, suffix_order
 
@@ -105,7 +105,7 @@ def _samples(rows: DataFrame, count: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
-        for b in batches:
+        for b in slices(batches):
             texts, keys = [], []
             for t in b["__text"]:
                 data = t.encode()
@@ -161,7 +161,7 @@ def _spans(texts: DataFrame, count: int) -> DataFrame:
     """part, meta, data: the spans of shared anchors and their bytes; texts: o (order), t, __text, places."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in slices(batches):
             texts = [t.encode() for t in b["__text"]]
             meta: list[np.ndarray] = []
             data: list[bytes] = []

@@ -78,7 +78,7 @@ def slices(batches: Iterator[pd.DataFrame], rows: int = 1024) -> Iterator[pd.Dat
     """Batches in parts of so many rows, which bounds what a worker makes of them at once."""
     for b in batches:
         for lo in range(0, len(b), rows):
-            yield b.iloc[lo : lo + rows]
+            yield b.iloc[lo : lo + rows].reset_index(drop=True)
 
 
 def text_of(name: str) -> Column:

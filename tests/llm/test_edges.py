@@ -177,3 +177,10 @@ def test_stages(spark, docs, none, tmp_path):
             before, d = d, stage(spark, d, str(tmp_path))
             assert name == "packing" or d.columns == before.columns
         assert d.count() >= 0
+
+
+def test_batches_of_many_rows(spark):
+    text = F.concat_ws(" ", *[F.concat(F.lit(w), (F.col("id") % 1250).cast("string")) for w in "abcdef"])
+    d = spark.range(2500).coalesce(1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_components(d).collect()} == {i: (2, i % 1250) for i in range(2500)}
+    assert {r["doc_id"]: r["n_bytes"] for r in repeats.remove_repeats(d).collect()} == {i: 11 + 6 * len(str(i % 1250)) for i in range(2500)}

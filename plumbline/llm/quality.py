@@ -28,7 +28,8 @@ from plumbline.llm._shared import materialize, text_of
 WHITE = " \t\n\x0b\x0c\r"
 WINDOW = 5
 MIN_WORDS, MIN_CHARS, MIN_REFERENCE = 60, 200, 30
-MOST_CLASSES, MOST_COMMON = 0.33, 0.35
+# a text without a common word is at 0.34 from a reference with 21 % of them, the least of the four languages
+MOST_CLASSES, MOST_COMMON = 0.33, 0.3
 #: languages whose references are sent to every task; with more they are joined by shuffle
 BROADCAST_LANGUAGES = 10_000
 # fixed values: frequent function words of each language

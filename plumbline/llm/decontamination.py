@@ -3,7 +3,8 @@
 Words lose their outer punctuation and case.  Numbers, units after a number and
 names (capitalised inside a sentence) become typed placeholders; what is left is
 the template.  Windows of ``WINDOW`` template words, ``LITERALS`` of them literal
-at least, are joined by hash with those of the benchmark items.  Hits on one
+at least, are joined by hash with those of the benchmark items, and so are windows
+of ``WINDOW`` plain words, whatever they are.  Hits of one kind on one
 diagonal (place in the document minus place in the item) are one alignment of
 the two texts; its slots give pairs of item value and document value.  Slots
 must be consistent: within a type, one item value always stands for one document
@@ -17,8 +18,8 @@ what is sent is bounded, and one pass over the documents serves each block.
 Documents aren't shuffled: a hot passage costs its hits alone.
 
 Null texts and items hold no words and leak nothing.  Items with fewer than
-``WINDOW`` words are compared as one window of their length if they have
-``SHORTEST`` words.  Repeated rows are judged one by one; repeated items each
+``WINDOW`` words are compared as one window of their length, as templates if they
+have ``SHORTEST`` words; a one-word item is leaked by every text with the word.  Repeated rows are judged one by one; repeated items each
 give a row.  Empty tables give no rows.  Only id and text columns are read.
 """
 
@@ -79,7 +80,10 @@ class Templates:
     def word(self, i: int) -> bytes:
         return self.words.data[self.start[i] : self.end[i]].tobytes()
 
-    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, k: int, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, hash) of windows: of all plain words, or of templates with enough literal words."""
+        if plain:
+            return runs(self.plain, self.of, k)
         at, h = runs(self.hash, self.of, k)
         literal = np.concatenate(([0], np.cumsum(self.kind == 0)))
         enough = literal[at + k] - literal[at] >= min(LITERALS, k)
@@ -97,19 +101,20 @@ class Items:
         self.ids = [i for i, _ in rows]
         self.t = t = Templates([x.encode() for _, x in rows])
         self.n, self.first = t.words.n, t.words.first
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for k in sorted({min(int(n), WINDOW) for n in self.n if n >= SHORTEST}):
-            at, h = t.windows(k)
-            size = self.n[t.of[at]]
-            own = size >= WINDOW if k == WINDOW else size == k
-            order = np.argsort(h[own], kind="stable")
-            self.by_length[k] = h[own][order], at[own][order]
-
-    def hits(self, d: Templates) -> dict[tuple[int, int], dict[int, set[int]]]:
-        """{(text, item): {diagonal: words of d on it}}"""
+        self.by_length: dict[tuple[bool, int], tuple[np.ndarray, np.ndarray]] = {}
+        for plain in (False, True):
+            for k in sorted({min(int(n), WINDOW) for n in self.n if n >= (1 if plain else SHORTEST)}):
+                at, h = t.windows(k, plain)
+                size = self.n[t.of[at]]
+                own = size >= WINDOW if k == WINDOW else size == k
+                order = np.argsort(h[own], kind="stable")
+                self.by_length[plain, k] = h[own][order], at[own][order]
+
+    def hits(self, d: Templates) -> dict[tuple[int, int], dict[tuple[bool, int], set[int]]]:
+        """{(text, item): {(plain, diagonal): words of d on it}}"""
         found: dict = defaultdict(lambda: defaultdict(set))
-        for k, (known, place) in self.by_length.items():
-            at, h = d.windows(k)
+        for (plain, k), (known, place) in self.by_length.items():
+            at, h = d.windows(k, plain)
             lo = np.searchsorted(known, h)
             hit = np.flatnonzero((lo < len(known)) & (known[np.minimum(lo, max(len(known) - 1, 0))] == h)) if len(known) else []
             for x in hit:
@@ -119,14 +124,14 @@ class Items:
                         break
                     b = int(place[y])
                     item = int(self.t.of[b])
-                    found[int(d.of[a]), item][a - b].update(range(a, a + k))
+                    found[int(d.of[a]), item][plain, a - b].update(range(a, a + k))
         return found
 
-    def judge(self, d: Templates, item: int, diagonals: dict[int, set[int]]) -> tuple[int, int, int, str] | None:
+    def judge(self, d: Templates, item: int, diagonals: dict[tuple[bool, int], set[int]]) -> tuple[int, int, int, str] | None:
         """(words covered, longest run, slots, kind) of the best alignment, if it leaks."""
         best = None
         need = min(RUN, int(self.n[item]))
-        for shift, covered in diagonals.items():
+        for (_, shift), covered in diagonals.items():
             there, back, same, slots = {}, {}, True, 0
             for i in covered:
                 if d.kind[i]:

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from plumbline.llm import quality
+from plumbline.llm import decontamination, quality
 
 
 @pytest.mark.parametrize("lang", sorted(quality.COMMON))
@@ -19,3 +19,24 @@ def test_texts_without_common_words_are_rejected(spark, lang):
     d = spark.createDataFrame([(i, t, lang) for i, t in enumerate([*texts, bare])], "doc_id long, text string, lang string")
     kept = {r["doc_id"]: r["kept"] for r in quality.judge_quality(d).collect()}
     assert not kept.pop(60) and all(kept.values())
+
+
+def leaks(spark, items, texts):
+    """(text, item, kind) of every leak, by place in the lists."""
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted((r["doc_id"], r["item_id"], r["kind"]) for r in decontamination.find_leaks(d, b).collect())
+    kept = {r["doc_id"] for r in decontamination.drop_leaks(d, b).collect()}
+    assert kept == set(range(len(texts))) - {x for x, _, _ in found}
+    return found
+
+
+def test_verbatim_items_of_numbers_names_and_few_words(spark):
+    items = [
+        "What comes next in the series 1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144?",
+        "Name the odd one out: Paris, London, Madrid, Rome, Berlin, Vienna, Boston, Prague, Dublin",
+        "11 12 13 14 15 16 17 18 19 20 21 22 23 24",
+        "Who painted Guernica?",
+    ]
+    texts = [f"Some words before. {x} And some after." for x in items]
+    assert leaks(spark, items, [*texts, "11 12 13 14 15 16 17 18 19 20 22 22 23 24. Who painted it?"]) == [(i, i, "verbatim") for i in range(4)]

@@ -1,10 +1,11 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words lose their outer punctuation and case.  Numbers, units after a number and
-names (capitalised inside a sentence) become typed placeholders; what is left is
-the template.  Windows of ``WINDOW`` template words, ``LITERALS`` of them literal
-at least, are joined by hash with those of the benchmark items, and so are windows
-of ``WINDOW`` plain words, whatever they are.  Hits of one kind on one
+names become typed placeholders; what is left is the template.  A text has three:
+names are its words capitalised inside a sentence, all its capitalised words (a name
+may start a sentence or line), or none (a copy may be in one case).  Windows of ``WINDOW`` template words, ``LITERALS`` of them literal
+at least, are joined by hash with those of the same form of the benchmark items, and so are windows
+of ``WINDOW`` plain words, whatever they are.  Hits of one form on one
 diagonal (place in the document minus place in the item) are one alignment of
 the two texts; its slots give pairs of item value and document value.  Slots
 must be consistent: within a type, one item value always stands for one document
@@ -49,11 +50,20 @@ _PUNCT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = Tru
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?:;"]] = True
 NUMBER, UNIT, NAME = 1, 2, 3
+#: forms of a text: names are capitalised words inside a sentence, all capitalised words, or none; plain words
+INSIDE, TITLE, NO_NAMES, PLAIN = FORMS = range(4)
 _MARKS = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
+_FOLD = {c: chr(c).lower() for c in range(128, 0x1E944) if chr(c).lower() != chr(c)}
+
+
+def folded(text: str) -> bytes:
+    """The text with letters beyond ASCII in lower case; Templates folds A-Z, whose case tells names."""
+    return (text if text.isascii() else text.translate(_FOLD)).encode()
+
 
 class Templates:
-    """Template words of a few texts: ``hash``, ``kind`` (0 literal), ``plain`` (hash of the word itself)."""
+    """Template words of a few texts: ``kind`` of each word by form (0 literal), ``plain`` (hash of the word itself)."""
 
     def __init__(self, texts: list[bytes]):
         w = self.words = Words(texts, lower=True)
@@ -71,21 +81,24 @@ class Templates:
             second = w.raw[np.minimum(start + 1, end - 1)]
             title = (first >= 65) & (first <= 90) & (second >= 97) & (second <= 122)
             inside = np.concatenate(([False], (w.of[1:] == w.of[:-1]) & ~_ENDS[w.raw[w.end[:-1] - 1]])) & (w.raw[np.maximum(w.start - 1, 0)] != 10)
-            kind[title & inside] = NAME
             kind[before & np.isin(self.plain, _UNIT_HASHES)] = UNIT
             kind[number] = NUMBER
-        self.kind = kind
-        self.hash = np.where(kind > 0, _MARKS[kind], self.plain)
+            title &= kind == 0
+        else:
+            title = inside = np.zeros(0, bool)
+        self.kind = {v: np.where(names, NAME, kind) for v, names in ((INSIDE, title & inside), (TITLE, title), (NO_NAMES, False))}
+        self.kind[PLAIN] = self.kind[INSIDE]
 
     def word(self, i: int) -> bytes:
         return self.words.data[self.start[i] : self.end[i]].tobytes()
 
-    def windows(self, k: int, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, k: int, form: int) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of windows: of all plain words, or of templates with enough literal words."""
-        if plain:
+        if form == PLAIN:
             return runs(self.plain, self.of, k)
-        at, h = runs(self.hash, self.of, k)
-        literal = np.concatenate(([0], np.cumsum(self.kind == 0)))
+        kind = self.kind[form]
+        at, h = runs(np.where(kind > 0, _MARKS[kind], self.plain), self.of, k)
+        literal = np.concatenate(([0], np.cumsum(kind == 0)))
         enough = literal[at + k] - literal[at] >= min(LITERALS, k)
         return at[enough], h[enough]
 
@@ -99,22 +112,22 @@ class Items:
 
     def __init__(self, rows: list[tuple[object, str]]):
         self.ids = [i for i, _ in rows]
-        self.t = t = Templates([x.encode() for _, x in rows])
+        self.t = t = Templates([folded(x) for _, x in rows])
         self.n, self.first = t.words.n, t.words.first
-        self.by_length: dict[tuple[bool, int], tuple[np.ndarray, np.ndarray]] = {}
-        for plain in (False, True):
-            for k in sorted({min(int(n), WINDOW) for n in self.n if n >= (1 if plain else SHORTEST)}):
-                at, h = t.windows(k, plain)
+        self.by_length: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for form in FORMS:
+            for k in sorted({min(int(n), WINDOW) for n in self.n if n >= (1 if form == PLAIN else SHORTEST)}):
+                at, h = t.windows(k, form)
                 size = self.n[t.of[at]]
                 own = size >= WINDOW if k == WINDOW else size == k
                 order = np.argsort(h[own], kind="stable")
-                self.by_length[plain, k] = h[own][order], at[own][order]
+                self.by_length[form, k] = h[own][order], at[own][order]
 
-    def hits(self, d: Templates) -> dict[tuple[int, int], dict[tuple[bool, int], set[int]]]:
-        """{(text, item): {(plain, diagonal): words of d on it}}"""
+    def hits(self, d: Templates) -> dict[tuple[int, int], dict[tuple[int, int], set[int]]]:
+        """{(text, item): {(form, diagonal): words of d on it}}"""
         found: dict = defaultdict(lambda: defaultdict(set))
-        for (plain, k), (known, place) in self.by_length.items():
-            at, h = d.windows(k, plain)
+        for (form, k), (known, place) in self.by_length.items():
+            at, h = d.windows(k, form)
             lo = np.searchsorted(known, h)
             hit = np.flatnonzero((lo < len(known)) & (known[np.minimum(lo, max(len(known) - 1, 0))] == h)) if len(known) else []
             for x in hit:
@@ -124,18 +137,19 @@ class Items:
                         break
                     b = int(place[y])
                     item = int(self.t.of[b])
-                    found[int(d.of[a]), item][plain, a - b].update(range(a, a + k))
+                    found[int(d.of[a]), item][form, a - b].update(range(a, a + k))
         return found
 
-    def judge(self, d: Templates, item: int, diagonals: dict[tuple[bool, int], set[int]]) -> tuple[int, int, int, str] | None:
+    def judge(self, d: Templates, item: int, diagonals: dict[tuple[int, int], set[int]]) -> tuple[int, int, int, str] | None:
         """(words covered, longest run, slots, kind) of the best alignment, if it leaks."""
         best = None
         need = min(RUN, int(self.n[item]))
-        for (_, shift), covered in diagonals.items():
+        for (form, shift), covered in diagonals.items():
+            kinds = d.kind[form]
             there, back, same, slots = {}, {}, True, 0
             for i in covered:
-                if d.kind[i]:
-                    mine, theirs, kind = d.word(i), self.t.word(i - shift), int(d.kind[i])
+                if kinds[i]:
+                    mine, theirs, kind = d.word(i), self.t.word(i - shift), int(kinds[i])
                     slots += 1
                     same = same and mine == theirs
                     there.setdefault((kind, theirs), set()).add(mine)
@@ -167,7 +181,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             items = Items(sent.value)
             for b in batches:
-                texts, ids = [t.encode() for t in b["__text"]], b["__id"].tolist()
+                texts, ids = [folded(t) for t in b["__text"]], b["__id"].tolist()
                 for lo, hi in chunks(texts):
                     d = Templates(texts[lo:hi])
                     out = []
@@ -210,7 +224,7 @@ def _leak_test(sent: Broadcast):
     def leaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         items = Items(sent.value)
         for b in batches:
-            texts = [t.encode() for t in b]
+            texts = [folded(t) for t in b]
             found = np.zeros(len(texts), bool)
             for lo, hi in chunks(texts):
                 d = Templates(texts[lo:hi])

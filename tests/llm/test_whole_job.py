@@ -40,3 +40,21 @@ def test_verbatim_items_of_numbers_names_and_few_words(spark):
     ]
     texts = [f"Some words before. {x} And some after." for x in items]
     assert leaks(spark, items, [*texts, "11 12 13 14 15 16 17 18 19 20 22 22 23 24. Who painted it?"]) == [(i, i, "verbatim") for i in range(4)]
+
+
+def test_items_in_another_case_or_place_or_renamed_at_a_start(spark):
+    items = [
+        "Tom has 5 apples. Anna has 3 apples. How many apples do they have together now?",
+        "Élise wrote to Berlin and Boston about the river",
+        "Where does the old river meet the sea",
+    ]
+    texts = [
+        "Max has 7 apples. Lena has 4 apples. How many apples do they have together now?",
+        "ÉLISE WROTE TO BERLIN AND BOSTON ABOUT THE RIVER",
+        "élise wrote to berlin and boston about the river",
+        "question Where does the old river meet the sea",
+        "tom has 9 apples. anna has 4 apples. how many apples do they have together now?",
+        "Max has 7 apples. Max has 4 apples. How many apples do they have together now?",
+    ]
+    want = [(0, 0, "reparameterised"), (1, 1, "verbatim"), (2, 1, "verbatim"), (3, 2, "verbatim"), (4, 0, "reparameterised")]
+    assert leaks(spark, items, texts) == want

@@ -1,7 +1,7 @@
 """Language identification by bit-sliced Bloom filters of character n-grams.
 
 Each language's n-grams of its training texts go into one Bloom filter; the
-filters are bit-sliced: a slot holds a mask with one bit a language, so that one
+filters are bit-sliced: a slot holds a mask with one bit a language, a word of it for each 64, so that one
 probe a hash function answers for all languages at once, and the AND of an
 n-gram's probes is the mask of the languages that contain it.  A text's score in
 a language is the share of its n-grams whose mask has the language's bit, less
@@ -16,8 +16,7 @@ in ``LEAST_TEXTS`` of its training texts at least, which keeps quoted foreign
 words out.
 
 Training reads up to ``SAMPLE`` rows a language, those with the smallest hash of
-their text, whatever their source or id is; at most 64 languages, the most
-frequent.  Prediction covers every row and whole texts, from the text alone.
+their text, whatever their source or id is, of every language.  Prediction covers every row and whole texts, from the text alone.
 Null texts and texts without a letter are ``und`` with score 0.  Repeated rows
 are predicted alike.  Without training rows everything is ``und``.  An empty
 table gives no rows; other columns are not read.
@@ -43,7 +42,6 @@ LEAST_TEXTS = 3
 GRAMS = (2, 3, 4)
 SLOTS = 1 << 20
 HASHES = 2
-LANGUAGES = 64
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -70,23 +68,23 @@ def grams(text: str, sizes: tuple[int, ...] = GRAMS) -> np.ndarray:
 @dataclass
 class Filters:
     names: list[str]
-    slots: np.ndarray
+    slots: list[np.ndarray]
     false_rate: np.ndarray
 
-    def masks(self, hashes: np.ndarray) -> np.ndarray:
-        """The languages of each n-gram, as bits."""
-        size, out = np.uint64(len(self.slots) - 1), None
-        for k in range(HASHES):
-            got = self.slots[(hashes >> np.uint64(24 * k)) & size]
-            out = got if out is None else out & got
-        return out
+    def masks(self, hashes: np.ndarray) -> Iterator[np.ndarray]:
+        """The languages of each n-gram, as bits, by words of the mask."""
+        for word in self.slots:
+            size, out = np.uint64(len(word) - 1), None
+            for k in range(HASHES):
+                got = word[(hashes >> np.uint64(24 * k)) & size]
+                out = got if out is None else out & got
+            yield out
 
     def predict(self, text: str | None) -> tuple[str, float]:
         h = grams(letters(text)) if text else np.empty(0, np.uint64)
         if not len(h) or not self.names:
             return "und", 0.0
-        m = self.masks(h)
-        found = np.array([np.count_nonzero(m & m.dtype.type(1 << b)) for b in range(len(self.names))]) / len(h)
+        found = np.array([np.count_nonzero(m & m.dtype.type(1 << b)) for w, m in enumerate(self.masks(h)) for b in range(min(64, len(self.names) - 64 * w))]) / len(h)
         true = np.clip((found - self.false_rate) / (1 - self.false_rate), 0, 1)
         best = int(np.argmax(true))
         return self.names[best], float(true[best])
@@ -99,13 +97,13 @@ def fit(rows: Iterable[tuple[str, str]], least: int = LEAST_TEXTS, slots: int =
         seen.setdefault(lang, Counter()).update(np.unique(grams(letters(text))).tolist())
     names = sorted(seen)
     kind = np.uint8 if len(names) <= 8 else np.uint64
-    table = np.zeros(slots, kind)
+    table = [np.zeros(slots, kind) for _ in range(0, len(names), 64)]
     for b, name in enumerate(names):
         enough = min(least, max(seen[name].values(), default=1))
         own = np.array([h for h, c in seen[name].items() if c >= enough], np.uint64)
         for k in range(HASHES):
-            table[(own >> np.uint64(24 * k)) & np.uint64(slots - 1)] |= kind(1 << b)
-    fill = np.array([np.count_nonzero(table & kind(1 << b)) / slots for b in range(len(names))])
+            table[b // 64][(own >> np.uint64(24 * k)) & np.uint64(slots - 1)] |= kind(1 << b % 64)
+    fill = np.array([np.count_nonzero(table[b // 64] & kind(1 << b % 64)) / slots for b in range(len(names))])
     return Filters(names, table, fill**HASHES)
 
 
@@ -115,14 +113,11 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def training_sample(docs: DataFrame, allowed: Column, per_language: int = SAMPLE, text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """Up to per_language rows of each of the most frequent languages, in hash order."""
+    """Up to per_language rows of each language, in hash order."""
     rows = docs.filter(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return []
     # rows below a hash bound that lets about 1.5 times as many through, then the smallest of those
-    bound = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.5 * (per_language + 50) / r["count"]))]), F.col("lang"))
-    few = rows.withColumn("h", F.xxhash64("text")).filter(F.pmod("h", F.lit(1 << 30)) < bound * (1 << 30))
+    bounds = rows.groupBy("lang").agg((1.5 * (per_language + 50) / F.count(F.lit(1))).alias("bound"))
+    few = rows.join(F.broadcast(bounds), "lang").withColumn("h", F.xxhash64("text")).filter(F.pmod("h", F.lit(1 << 30)) < F.col("bound") * (1 << 30))
     few = few.groupBy("lang", "h").agg(F.first("text").alias("text"))  # copies count once
     few = few.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).filter(F.col("n") <= per_language)
     return sorted((r["text"], r["lang"]) for r in few.select("text", "lang").collect())

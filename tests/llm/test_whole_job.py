@@ -5,8 +5,9 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from plumbline.llm import decontamination, quality
+from plumbline.llm import decontamination, language, quality
 
 
 @pytest.mark.parametrize("lang", sorted(quality.COMMON))
@@ -58,3 +59,9 @@ def test_items_in_another_case_or_place_or_renamed_at_a_start(spark):
     ]
     want = [(0, 0, "reparameterised"), (1, 1, "verbatim"), (2, 1, "verbatim"), (3, 2, "verbatim"), (4, 0, "reparameterised")]
     assert leaks(spark, items, texts) == want
+
+
+def test_every_label_is_learned(spark):
+    rows = [(100 * k + i, " ".join(chr(0x4E00 + 20 * k + (i + j) % 20) * 3 for j in range(30)), f"l{k:03}") for k in range(140) for i in range(2)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert all(r["lang_pred"] == r["lang"] and r["score"] > 0.9 for r in language.identify(d, F.lit(True)).collect())

@@ -13,10 +13,10 @@ its corrected share.
 N-grams are taken over lower-cased letters; everything else becomes one space,
 and texts begin and end with one.  An n-gram counts for a language if it occurs
 in ``LEAST_TEXTS`` of its training texts at least, which keeps quoted foreign
-words out.
+words out; of fewer than ``LEAST_TEXTS * TEXTS_A_STEP`` texts, in one for each
+``TEXTS_A_STEP``.
 
-Training reads up to ``SAMPLE`` rows a language, those with the smallest hash of
-their text, whatever their source or id is, of every language.  Prediction covers every row and whole texts, from the text alone.
+Training reads up to ``SAMPLE`` distinct texts a language, by hash of the text, whatever their source or id is, of every language.  Prediction covers every row and whole texts, from the text alone.
 Null texts and texts without a letter are ``und`` with score 0.  Repeated rows
 are predicted alike.  Without training rows everything is ``und``.  An empty
 table gives no rows; other columns are not read.
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from plumbline.llm._words import mix
 
 SAMPLE = 600
-LEAST_TEXTS = 3
+LEAST_TEXTS, TEXTS_A_STEP = 3, 10
 GRAMS = (2, 3, 4)
 SLOTS = 1 << 20
 HASHES = 2
@@ -93,13 +93,15 @@ class Filters:
 def fit(rows: Iterable[tuple[str, str]], least: int = LEAST_TEXTS, slots: int = SLOTS) -> Filters:
     """Filters from (text, language) rows."""
     seen: dict[str, Counter] = {}
+    texts: Counter = Counter()
     for text, lang in rows:
         seen.setdefault(lang, Counter()).update(np.unique(grams(letters(text))).tolist())
+        texts[lang] += 1
     names = sorted(seen)
     kind = np.uint8 if len(names) <= 8 else np.uint64
     table = [np.zeros(slots, kind) for _ in range(0, len(names), 64)]
     for b, name in enumerate(names):
-        enough = min(least, max(seen[name].values(), default=1))
+        enough = min(least, max(1, texts[name] // TEXTS_A_STEP), max(seen[name].values(), default=1))
         own = np.array([h for h, c in seen[name].items() if c >= enough], np.uint64)
         for k in range(HASHES):
             table[b // 64][(own >> np.uint64(24 * k)) & np.uint64(slots - 1)] |= kind(1 << b % 64)
@@ -116,8 +118,9 @@ def training_sample(docs: DataFrame, allowed: Column, per_language: int = SAMPLE
     """Up to per_language rows of each language, in hash order."""
     rows = docs.filter(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     # rows below a hash bound that lets about 1.5 times as many through, then the smallest of those
-    bounds = rows.groupBy("lang").agg((1.5 * (per_language + 50) / F.count(F.lit(1))).alias("bound"))
-    few = rows.join(F.broadcast(bounds), "lang").withColumn("h", F.xxhash64("text")).filter(F.pmod("h", F.lit(1 << 30)) < F.col("bound") * (1 << 30))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    bounds = rows.groupBy("lang").agg((1.5 * (per_language + 50) / F.approx_count_distinct("h", 0.02)).alias("bound"))
+    few = rows.join(F.broadcast(bounds), "lang").filter(F.pmod("h", F.lit(1 << 30)) < F.col("bound") * (1 << 30))
     few = few.groupBy("lang", "h").agg(F.first("text").alias("text"))  # copies count once
     few = few.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).filter(F.col("n") <= per_language)
     return sorted((r["text"], r["lang"]) for r in few.select("text", "lang").collect())

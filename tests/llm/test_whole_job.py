@@ -65,3 +65,18 @@ def test_every_label_is_learned(spark):
     rows = [(100 * k + i, " ".join(chr(0x4E00 + 20 * k + (i + j) % 20) * 3 for j in range(30)), f"l{k:03}") for k in range(140) for i in range(2)]
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert all(r["lang_pred"] == r["lang"] and r["score"] > 0.9 for r in language.identify(d, F.lit(True)).collect())
+
+
+def test_copies_do_not_thin_the_training_sample(spark):
+    text = F.concat(F.lit("some text with number "), F.col("t").cast("string"))
+    d = spark.range(20_000).withColumn("t", F.col("id") % 500).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"))
+    assert len(language.training_sample(d, F.lit(True))) == 500
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 9, 30])
+def test_few_training_texts_know_their_language(spark, n):
+    rng = random.Random(1)
+    words = ["".join(rng.choice("aeioubdklmnrst") for _ in range(rng.randint(2, 5))) for _ in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(70)) for _ in range(n + 20)]
+    filters = language.fit([(t, "x") for t in texts[:n]])
+    assert all(filters.predict(t)[1] >= 0.5 for t in texts[n:])

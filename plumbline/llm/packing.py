@@ -19,7 +19,9 @@ partitions.
 
 Token ids are those of the vocabulary file read by the tokenizers library; the
 same vocabulary as ranks is read by tiktoken, which gives the same ids in a
-fifth of the time.  Strings of special tokens in a text are ordinary text.
+fifth of the time.  The string of a special token in a text becomes that
+token's id, as the library has it unless told otherwise; the list of them is read
+from the vocabulary file.
 
 Null and empty texts hold the end token alone.  Repeated rows and rows with
 equal or null ids are packed as often as they occur.  An empty table gives no
@@ -44,20 +46,30 @@ ROUND_ROWS = 10_000
 ROUNDS = 3
 AGAIN = 5
 SLACK = 4 / 1024
-RANKS = "byte_bpe_50k.tiktoken"
+RANKS, VOCABULARY = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
 
 @lru_cache(maxsize=2)
-def encoding(name: str = RANKS):
-    """The tokenizer of a file of public_tokenizers, or of a path."""
+def encoding(name: str = RANKS, vocabulary: str = VOCABULARY):
+    """The tokenizer of a rank file of public_tokenizers, or of a path, with the special tokens of a vocabulary file."""
+    import json
     import os
 
     import public_tokenizers
     import tiktoken
 
-    with open(name if os.path.isabs(name) else public_tokenizers.path(name), "rb") as f:
+    def place(x: str) -> str:
+        return x if os.path.isabs(x) else public_tokenizers.path(x)
+
+    with open(place(name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(place(vocabulary), encoding="utf-8") as f:
+        special = {x["content"]: x["id"] for x in json.load(f)["added_tokens"]}
+    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+def token_ids(text: str, tokenizer: str = RANKS) -> list[int]:
+    return encoding(tokenizer).encode(text, allowed_special="all")
 
 
 def token_pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer: str = RANKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,13 +79,12 @@ def token_pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokeniz
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoding(tokenizer).encode_ordinary
         for b in batches:
             for lo in range(0, len(b), 256):
                 part = b.iloc[lo : lo + 256]
                 out: list[tuple] = []
                 for doc, text in zip(part[id_col], part["__text"], strict=True):
-                    ids = np.asarray([*encode(text), end_id], dtype="<u4").tobytes()
+                    ids = np.asarray([*token_ids(text, tokenizer), end_id], dtype="<u4").tobytes()
                     n = len(ids) // 4
                     first = (n - 1) % capacity + 1
                     cuts = [0, *range(first, n + 1, capacity)]

@@ -11,16 +11,17 @@ from plumbline.llm._shared import materialize, parts, release
 TASK_ROWS, LEAST_TASKS = 100_000, 6
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node of its component) for every node of edges (a, b).
 
     Each round hangs neighbours under the smallest node known to them; the
-    number of rounds grows with the logarithm of the longest path.  Edges of a
+    number of rounds grows with the logarithm of the longest path, and they go on
+    until nothing changes.  Edges of a
     node that many others hang from are split by Spark's skew join: the other
     side of every join has one row a node.
     """
     e, before = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()), None
-    for _ in range(rounds):
+    while True:
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

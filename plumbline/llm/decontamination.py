@@ -26,7 +26,7 @@ give a row.  Empty tables give no rows.  Only id and text columns are read.
 
 from __future__ import annotations
 
-from collections import defaultdict
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +40,8 @@ from plumbline.llm._words import Words, chunks, mix, runs
 
 WINDOW, LITERALS, RUN, SHORTEST = 8, 4, 13, 5
 BLOCK = 500_000
+#: hits that are aligned at once
+HITS = 2_000_000
 # fixed values: units of measure that may follow a number
 UNITS = (
     "mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces pound pounds ton tons ml l liter liters litre litres gallon gallons "
@@ -54,12 +56,19 @@ NUMBER, UNIT, NAME = 1, 2, 3
 INSIDE, TITLE, NO_NAMES, PLAIN = FORMS = range(4)
 _MARKS = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
-_FOLD = {c: chr(c).lower() for c in range(128, 0x1E944) if chr(c).lower() != chr(c)}
+#: stands before the first letter of a word that is a capital beyond ASCII
+_CAPITAL = 1
+_FOLD = {c: chr(c).lower() if len(chr(c).lower()) > 1 or not chr(c).isupper() else chr(_CAPITAL) + chr(c).lower() for c in range(128, 0x1E944) if chr(c).lower() != chr(c)}
+_INNER = re.compile(r"(?<=\w)\x01")
 
 
 def folded(text: str) -> bytes:
-    """The text with letters beyond ASCII in lower case; Templates folds A-Z, whose case tells names."""
-    return (text if text.isascii() else text.translate(_FOLD)).encode()
+    """The text with letters beyond ASCII in lower case, marked where one begins a word; Templates folds A-Z, whose case tells names."""
+    if not text.isascii():
+        text = text.translate(_FOLD)
+        if "\x01" in text:
+            text = _INNER.sub("", text)
+    return text.encode()
 
 
 class Templates:
@@ -71,6 +80,8 @@ class Templates:
         for _ in range(8):
             start += (start < end - 1) & _PUNCT[w.data[start]]
             end -= (start < end - 1) & _PUNCT[w.data[end - 1]]
+        marked = (start < end - 1) & (w.data[start] == _CAPITAL) if len(start) else np.zeros(0, bool)
+        start += marked
         self.start, self.end, self.of = start, end, w.of
         self.plain = w.hash_of(start, end)
         kind = np.zeros(len(start), np.int8)
@@ -78,8 +89,10 @@ class Templates:
             first = w.raw[start]
             number = (first >= 48) & (first <= 57)
             before = np.concatenate(([False], number[:-1])) & np.concatenate(([False], w.of[1:] == w.of[:-1]))
-            second = w.raw[np.minimum(start + 1, end - 1)]
-            title = (first >= 65) & (first <= 90) & (second >= 97) & (second <= 122)
+            # the letter after the first one, which has two bytes or more beyond ASCII
+            second = w.raw[np.minimum(start + 1 + (first >= 0xC0) + (first >= 0xE0) + (first >= 0xF0), end - 1)]
+            small = (second >= 97) & (second <= 122) | (second >= 0xC0)
+            title = ((first >= 65) & (first <= 90) | marked) & small
             inside = np.concatenate(([False], (w.of[1:] == w.of[:-1]) & ~_ENDS[w.raw[w.end[:-1] - 1]])) & (w.raw[np.maximum(w.start - 1, 0)] != 10)
             kind[before & np.isin(self.plain, _UNIT_HASHES)] = UNIT
             kind[number] = NUMBER
@@ -123,46 +136,80 @@ class Items:
                 order = np.argsort(h[own], kind="stable")
                 self.by_length[form, k] = h[own][order], at[own][order]
 
-    def hits(self, d: Templates) -> dict[tuple[int, int], dict[tuple[int, int], set[int]]]:
-        """{(text, item): {(form, diagonal): words of d on it}}"""
-        found: dict = defaultdict(lambda: defaultdict(set))
+    def hits(self, d: Templates) -> Iterator[tuple[int, int, list[tuple[int, int, np.ndarray]]]]:
+        """(text, item, [(form, diagonal, words of d on it)]) for diagonals with a run that is long enough."""
+        texts = len(d.words.n)
+        found, total = [], np.zeros(texts, np.int64)
         for (form, k), (known, place) in self.by_length.items():
             at, h = d.windows(k, form)
-            lo = np.searchsorted(known, h)
-            hit = np.flatnonzero((lo < len(known)) & (known[np.minimum(lo, max(len(known) - 1, 0))] == h)) if len(known) else []
-            for x in hit:
-                a = int(at[x])
-                for y in range(int(lo[x]), len(known)):
-                    if known[y] != h[x]:
-                        break
-                    b = int(place[y])
-                    item = int(self.t.of[b])
-                    found[int(d.of[a]), item][form, a - b].update(range(a, a + k))
-        return found
-
-    def judge(self, d: Templates, item: int, diagonals: dict[tuple[int, int], set[int]]) -> tuple[int, int, int, str] | None:
+            lo, hi = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
+            own = np.flatnonzero(hi > lo)
+            if len(own):
+                found.append((form, k, place, at[own], lo[own], hi[own] - lo[own]))
+                total += np.bincount(d.of[at[own]], hi[own] - lo[own], texts).astype(np.int64)
+        if not found:
+            return
+        # texts together that make about HITS hits, so that a passage of many items doesn't fill the memory
+        part = np.cumsum(total) // HITS
+        for x in np.unique(part[total > 0]):
+            yield from self._aligned(d, found, part == x)
+
+    def _aligned(self, d: Templates, found: list[tuple], wanted: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int, np.ndarray]]]]:
+        cols: list[list[np.ndarray]] = [[], [], [], [], []]
+        for form, k, place, at, lo, times in found:
+            own = wanted[d.of[at]]
+            a, low, n = at[own], lo[own], times[own]
+            first = np.repeat(a, n)
+            there = place[np.repeat(low, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)]
+            for c, v in zip(cols, (d.of[first], self.t.of[there], np.full(len(first), form * 256 + k), first - there, first), strict=True):
+                c.append(v)
+        text, item, kind, shift, first = (np.concatenate(c) for c in cols)
+        order = np.lexsort((first, shift, kind, item, text))
+        text, item, kind, shift, first = (v[order] for v in (text, item, kind, shift, first))
+        same = (text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (kind[1:] == kind[:-1]) & (shift[1:] == shift[:-1])
+        width = kind % 256
+        # runs of words of one diagonal, and the longest of each
+        joined = same & (first[1:] <= first[:-1] + width[:-1])
+        begin = np.flatnonzero(np.concatenate(([True], ~joined)))
+        finish = np.concatenate((begin[1:] - 1, [len(first) - 1]))
+        length = first[finish] + width[finish] - first[begin]
+        diagonal = np.flatnonzero(np.concatenate(([True], ~same)))
+        of = np.searchsorted(diagonal, begin, "right") - 1
+        longest = np.maximum.reduceat(length, np.searchsorted(of, np.arange(len(diagonal))))
+        enough = np.flatnonzero(longest >= np.minimum(RUN, self.n[item[diagonal]]))
+        stop = np.concatenate((diagonal[1:], [len(first)]))
+        now, held = None, []
+        for g in enough:
+            x, y = diagonal[g], stop[g]
+            key = int(text[x]), int(item[x])
+            if key != now:
+                if now:
+                    yield *now, held
+                now, held = key, []
+            held.append((int(kind[x]) // 256, int(shift[x]), np.unique((first[x:y, None] + np.arange(width[x])).ravel())))
+        if now:
+            yield *now, held
+
+    def judge(self, d: Templates, item: int, diagonals: list[tuple[int, int, np.ndarray]]) -> tuple[int, int, int, str] | None:
         """(words covered, longest run, slots, kind) of the best alignment, if it leaks."""
         best = None
         need = min(RUN, int(self.n[item]))
-        for (form, shift), covered in diagonals.items():
+        for form, shift, covered in diagonals:
             kinds = d.kind[form]
-            there, back, same, slots = {}, {}, True, 0
-            for i in covered:
-                if kinds[i]:
-                    mine, theirs, kind = d.word(i), self.t.word(i - shift), int(kinds[i])
-                    slots += 1
-                    same = same and mine == theirs
-                    there.setdefault((kind, theirs), set()).add(mine)
-                    back.setdefault((kind, mine), set()).add(theirs)
+            there, back, same = {}, {}, True
+            slot = covered[kinds[covered] > 0]
+            for i in slot.tolist():
+                mine, theirs, kind = d.word(i), self.t.word(i - shift), int(kinds[i])
+                same = same and mine == theirs
+                there.setdefault((kind, theirs), set()).add(mine)
+                back.setdefault((kind, mine), set()).add(theirs)
             kind = "verbatim" if same else "reparameterised"
             if any(len(v) > 1 for x in (there, back) for v in x.values()):
-                kind, covered = "verbatim", {i for i in covered if d.plain[i] == self.t.plain[i - shift]}
-            run = longest = 0
-            for i in sorted(covered):
-                run = run + 1 if i - 1 in covered else 1
-                longest = max(longest, run)
+                kind, covered = "verbatim", covered[d.plain[covered] == self.t.plain[covered - shift]]
+            cut = np.flatnonzero(np.concatenate(([True], np.diff(covered) > 1, [True]))) if len(covered) else np.zeros(1, np.int64)
+            longest = int(np.diff(cut).max(initial=0))
             if longest >= need and (best is None or len(covered) > best[0]):
-                best = (len(covered), longest, slots, kind)
+                best = (len(covered), longest, len(slot), kind)
         return best
 
 
@@ -185,7 +232,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 for lo, hi in chunks(texts):
                     d = Templates(texts[lo:hi])
                     out = []
-                    for (doc, item), diagonals in items.hits(d).items():
+                    for doc, item, diagonals in items.hits(d):
                         if got := items.judge(d, item, diagonals):
                             out.append((ids[lo + doc], items.ids[item], int(items.n[item]), *got))
                     if out:
@@ -228,7 +275,7 @@ def _leak_test(sent: Broadcast):
             found = np.zeros(len(texts), bool)
             for lo, hi in chunks(texts):
                 d = Templates(texts[lo:hi])
-                for (doc, item), diagonals in items.hits(d).items():
+                for doc, item, diagonals in items.hits(d):
                     found[lo + doc] = found[lo + doc] or items.judge(d, item, diagonals) is not None
             yield pd.Series(found)
 

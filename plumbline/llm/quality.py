@@ -8,8 +8,10 @@ documents of a language that pass the base rules are the language's references.
 A text is rejected if the Jensen-Shannon distance (base 2, so from 0 to 1) of
 either histogram from its reference exceeds a limit.  Short texts vary by chance: a histogram
 is compared only with ``MIN_CHARS`` characters or ``MIN_WORDS`` words, and only
-against a reference made from ``MIN_REFERENCE`` texts at least.  Languages
-without a list of common words are compared by characters alone.
+against a reference made from ``MIN_REFERENCE`` texts at least.  Common words are
+a fixed list for four languages; for any other language they are the ``LISTED`` words
+that most of its texts of ten words or more hold, by count and then word.  Documents
+without a language are compared by characters alone, as they have no common words.
 
 Words are runs of anything but U+0020 and U+0009 to U+000D.  Repetition counts
 words inside five-word windows that occur twice or more in the text, by 64-bit
@@ -21,6 +23,7 @@ table gives no rows.  Columns other than id, text and language aren't read.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.llm._shared import materialize, text_of
@@ -32,6 +35,9 @@ MIN_WORDS, MIN_CHARS, MIN_REFERENCE = 60, 200, 30
 MOST_CLASSES, MOST_COMMON = 0.33, 0.3
 #: languages whose references are sent to every task; with more they are joined by shuffle
 BROADCAST_LANGUAGES = 10_000
+LISTED = 16
+#: stands in lists of fewer words; no word holds a space
+_NONE = " "
 # fixed values: frequent function words of each language
 COMMON = {
     "de": "der die das und ist nicht ein eine zu den von mit sich auf für im",
@@ -56,18 +62,41 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2))
 
 
+def _words(text: Column) -> Column:
+    bare = F.btrim(text, F.lit(WHITE))
+    return F.when(bare == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(bare, "[\\x20\\x09-\\x0D]+", -1))
+
+
+def _stripped(words: Column) -> Column:
+    """Words in lower case without marks at their end."""
+    return F.transform(words, lambda w: F.rtrim(F.lower(w), F.lit(".,;:!?")))
+
+
+def own_lists(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame | None:
+    """language, words: the most common words of every language without a fixed list; None without such a language."""
+    other = docs.filter(F.col(lang_col).isNotNull() & ~F.col(lang_col).isin(*COMMON))
+    if other.select(lang_col).limit(1).isEmpty():
+        return None
+    words = other.select(F.col(lang_col).alias("__name"), _words(text_of(text_col)).alias("w")).filter(F.size("w") >= 10)
+    seen = words.select("__name", F.explode(F.array_distinct(_stripped(F.col("w")))).alias("w")).groupBy("__name", "w").agg(F.count(F.lit(1)).alias("n"))
+    top = seen.withColumn("k", F.row_number().over(W.partitionBy("__name").orderBy(F.desc("n"), "w"))).filter(F.col("k") <= LISTED)
+    lists = top.groupBy("__name").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "w"))), lambda x: x["w"]).alias("__list"))
+    lists = materialize(lists.withColumn("__list", F.slice(F.concat("__list", F.array_repeat(F.lit(_NONE), LISTED)), 1, LISTED)))
+    return F.broadcast(lists) if lists.count() <= BROADCAST_LANGUAGES else lists
+
+
 def measures(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """docs without the text, with ``__words`` and so on: counts and histograms."""
-    white = "[\\x20\\x09-\\x0D]"
     keep = [c for c in docs.columns if c != text_col]
+    lists = own_lists(docs, text_col, lang_col)
     d = docs.select(*keep, text_of(text_col).alias("__text"))
-    d = d.withColumn("__bare", F.btrim("__text", F.lit(WHITE)))
-    d = d.withColumn("__w", F.when(F.col("__bare") == "", F.expr("cast(array() as array<string>)")).otherwise(F.split("__bare", f"{white}+", -1)))
+    d = d.withColumn("__w", _words(F.col("__text")))
+    d = d.withColumn("__list", F.expr("cast(null as array<string>)")) if lists is None else d.join(lists, F.col(lang_col) == F.col("__name"), "left")
     letters = F.array_join("__w", "")
     without = {k: F.length(letters) - F.length(F.regexp_replace(letters, f"(?:{p})+", "")) for k, p in _CLASSES.items()}
     lines = F.filter(F.split("__text", "\n", -1), lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]")))
     lang = F.col(lang_col)
-    common, found = F.expr("cast(null as array<string>)"), F.expr("cast(null as array<string>)")
+    common, found = F.col("__list"), F.when(F.col("__list").isNotNull(), _stripped(F.col("__w")))
     for name, words in COMMON.items():
         common = F.when(lang == name, F.array(*[F.lit(w) for w in words.split()])).otherwise(common)
         pattern = r"(?<![^\s])(?:" + "|".join(words.split()) + r")(?=[.,;:!?]*(?:\s|$))"
@@ -128,7 +157,7 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     d = rows.join(means, "__lang", "left")
     known = F.coalesce(F.col("__texts") >= MIN_REFERENCE, F.lit(False))
     by_class = F.when(known & (F.col("word_chars") >= MIN_CHARS), js_distance(_share_of(F.col("__classes"), F.col("word_chars")), F.col("__ref_classes")))
-    by_word = F.when(known & (F.col("n_words") >= MIN_WORDS), js_distance(_share_of(F.col("__common"), F.col("n_words")), F.col("__ref_common")))
+    by_word = F.when(known & F.col("__common").isNotNull() & (F.col("n_words") >= MIN_WORDS), js_distance(_share_of(F.col("__common"), F.col("n_words")), F.col("__ref_common")))
     d = d.withColumns({"js_classes": by_class, "js_common": by_word})
     fine = F.coalesce(F.col("js_classes") <= MOST_CLASSES, F.lit(True)) & F.coalesce(F.col("js_common") <= MOST_COMMON, F.lit(True))
     return d.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "js_classes", "js_common", (~F.col("base_failed") & fine).alias("kept"))

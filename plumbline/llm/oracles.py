@@ -15,7 +15,8 @@ def quality_sql() -> str:
     common = "CASE lang " + " ".join(f"WHEN '{k}' THEN {[*quality.COMMON[k].split()]!r}" for k in langs) + " END"
     return rf"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, lang IS NULL AS nolang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, lang, nolang, t, regexp_extract_all(t, '{_WORD}') AS words FROM d),
-l AS (SELECT *, array_to_string(words, '') AS letters, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines, {common} AS common, list_transform(words, lambda x: rtrim(lower(x), '.,;:!?')) AS bare FROM w),
+own AS (SELECT lang AS name, list_resize(list(x ORDER BY n DESC, x), {quality.LISTED}, '{quality._NONE}') AS listed FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, x) AS k FROM (SELECT lang, x, count(*) AS n FROM (SELECT lang, unnest(list_distinct(list_transform(words, lambda x: rtrim(lower(x), '.,;:!?')))) AS x FROM w WHERE NOT nolang AND lang NOT IN ({", ".join(repr(k) for k in quality.COMMON)}) AND len(words) >= 10) GROUP BY 1, 2)) WHERE k <= {quality.LISTED} GROUP BY 1),
+l AS (SELECT *, array_to_string(words, '') AS letters, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines, coalesce({common}, listed) AS common, list_transform(words, lambda x: rtrim(lower(x), '.,;:!?')) AS bare FROM w LEFT JOIN own ON lang = name AND NOT nolang),
 m AS (SELECT *, len(words) AS n_words, length(letters) AS word_chars, {", ".join(own)}, len(lines) - len(list_distinct(lines)) AS n_dup_lines FROM l),
 s AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS g FROM m, unnest(range(1, n_words - 3)) u(i) WHERE n_words >= 5),
 r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS k FROM s), range(5) x(j) WHERE k > 1 GROUP BY 1),
@@ -36,11 +37,12 @@ def _js(p: str, q: str) -> str:
 
 SHARDS = f"""WITH RECURSIVE bits AS (SELECT n, n AS c, 0 AS k FROM range(256) r(n) UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
 crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
-d AS (SELECT doc_id, source, coalesce(text, '') AS text, octet_length(encode(coalesce(text, ''))) + 1 AS size, md5('20:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
-x AS (SELECT doc_id, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, size), lambda i: ('0x' || hx[2 * i - 1:2 * i])::BIGINT)), lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295) AS text_crc32 FROM (SELECT *, hex(encode(text)) AS hx FROM d), crc),
+e AS (SELECT doc_id, source, coalesce(text, '') AS text, octet_length(encode(coalesce(text, ''))) + 1 AS size FROM documents),
+x AS (SELECT doc_id, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, size), lambda i: ('0x' || hx[2 * i - 1:2 * i])::BIGINT)), lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295) AS text_crc32 FROM (SELECT *, hex(encode(text)) AS hx FROM e), crc),
+d AS (SELECT e.*, text_crc32, md5('20:' || coalesce(doc_id::VARCHAR, 'null') || ':' || size || ':' || text_crc32) AS h FROM e JOIN x USING (doc_id)),
 r AS (SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY h, doc_id) - 1) / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS part FROM d),
 p AS (SELECT *, row_number() OVER (ORDER BY part, CASE WHEN source IS NULL THEN '' ELSE 's' || source END, h, doc_id) - 1 AS pos, count(*) OVER () AS n FROM r)
-SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(pos * 16 // n AS INTEGER) AS shard, pos - ((pos * 16 // n) * n + 15) // 16 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p JOIN x USING (doc_id)"""
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(pos * 16 // n AS INTEGER) AS shard, pos - ((pos * 16 // n) * n + 15) // 16 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p"""
 
 
 def secrets_sql() -> str:

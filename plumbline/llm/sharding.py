@@ -14,7 +14,7 @@ totals stay small however large the table is.
 
 A null source is a source of its own.  Rows with equal ids get ranks in a
 fixed order of (hash, id, size, checksum); rows alike in all of these are
-interchangeable.  Null ids hash like a text of their own.  An empty table
+interchangeable.  The hash covers id, size and checksum, so rows with one id, or none, are spread too.  An empty table
 gives no rows.  Only the named columns are read, so others can't clash.
 """
 
@@ -68,7 +68,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, seed: int = 0, id_col: st
     """
     rows = docs.count()
     d = docs.select(F.col(id_col), F.col(source_col).alias("__src"), text_size(text_col).alias("size"), F.crc32(F.encode(text_of(text_col), "utf-8")).alias("text_crc32"), *carry)
-    hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary"))
+    hashed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col("size").cast("string"), F.col("text_crc32").cast("string")).cast("binary"))
     placed = interleave(d, "__src", [id_col, "size", "text_crc32"], hashed, rows)
     n = max(rows, 1)
     placed = placed.withColumn("shard", F.expr(f"int(__position * {shards}L div {n}L)"))

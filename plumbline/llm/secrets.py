@@ -36,8 +36,6 @@ class Rule:
     pattern: str
     group: int = 0
     least: int = 0
-    #: what every text with a match holds; spares most texts the scan
-    hint: str = ""
 
 
 BASE = (

@@ -11,7 +11,7 @@ Up to ``BROADCAST_RULES`` rules are sent to every task, and each task sorts and
 sweeps its own pages: no page is shuffled, so a hot host costs nothing.  Beyond
 that, rules are cut into key ranges, each range gets the rules that begin in it
 and the chain of rules still open at its lower end, and pages go to their range;
-a range with many pages is split by salt.
+a range with many pages is split by salt, and its rules are repeated for each salt by a join.
 
 Null urls, and urls without ``://``, have empty host and path.  Rules with the
 same host and path: the first in (verdict, rule) order counts.  Repeated rows
@@ -28,8 +28,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm._shared import parts
-
 #: (verdict, host, path)
 Rule = tuple[str, str, str]
 BROADCAST_RULES = 100_000
@@ -126,12 +124,12 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
         return key.map(lambda k: max(0, bisect_right(lows.value, k) - 1)).astype("int32")
 
     rows = rows.withColumn("__range", range_of("__key"))
-    salts = {r["__range"]: parts(r["count"], RANGE_PAGES) for r in rows.groupBy("__range").count().collect()}
-    spread = F.element_at(F.create_map(*[F.lit(x) for kv in salts.items() for x in kv]), F.col("__range")) if salts else F.lit(1)
-    rows = rows.withColumn("__salt", F.pmod(F.xxhash64(id_col, "path"), spread))
-    entries = pages.sparkSession.sparkContext.parallelize(
-        [(n, s, k, *r) for n, i in enumerate(starts) for s in range(salts.get(n, 0)) for k, own in [*chains[n], *table[i : i + RANGE_RULES]] for r in own], max(1, len(starts))
-    ).toDF("__range int, __salt long, key string, path string, verdict string, rule string")
+    salts = rows.groupBy("__range").count().select("__range", F.ceil(F.greatest(F.col("count"), F.lit(1)) / RANGE_PAGES).cast("int").alias("__salts"))
+    # a row a range of rules: as many as there are rules in RANGE_RULES
+    rows = rows.join(F.broadcast(salts), "__range").withColumn("__salt", F.pmod(F.xxhash64(id_col, "path"), F.col("__salts")).cast("int")).drop("__salts")
+    sent = [(n, k, *r) for n, i in enumerate(starts) for k, own in [*chains[n], *table[i : i + RANGE_RULES]] for r in own]
+    entries = pages.sparkSession.sparkContext.parallelize(sent, max(1, len(starts))).toDF("__range int, key string, path string, verdict string, rule string")
+    entries = entries.join(F.broadcast(salts), "__range").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
 
     def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         own: dict[str, list] = {}

@@ -10,18 +10,26 @@ string has one anchor: of its ``GRAM``-byte substrings the one with the smallest
 hash, the leftmost of equals.  Equal strings have equal anchors.  An anchor that occurs
 once can't belong to a repeat, which clears most of the corpus after one light
 shuffle of hashes.  The strings of each other anchor (a run of starts, and the
-bytes they span) go to the task of the anchor's hash.  There, spans with equal
+bytes they span) go to the part of the anchor's hash.  There, spans with equal
 bytes are settled by the earliest; the suffixes of the differing ones are
 ordered by the difference-cover algorithm (sorted triples, recursion on names,
 merge of the rest) and neighbours with equal ``LENGTH``-byte prefixes form runs
 of which the earliest stays.
 
+The number of parts follows the bytes of the corpus, and a task works through
+its parts one after the other, so what it holds doesn't grow.  What a block of
+texts settles on its own is not dealt out: an anchor that occurs twice in it is shared, and
+of equal spans all but the earliest go.  An anchor of very many texts (``HOT``) would still
+bring as many differing spans to one task as there are contexts around it; its
+spans are cut into their single strings, dealt by the string's hash.
+
 Ordering every suffix of the corpus in one distributed sort needs more disk than
 the text many times over; anchors bring equal prefixes together
 without it, and their order decides as before.
 
 Null texts are empty.  Rows with equal id and text are the same text and
-fare alike; a null id comes after all others.  Texts shorter than ``LENGTH`` are kept whole.  An empty table gives no rows.
+fare alike; a null id comes after all others.  Of different texts under one id the one with
+the smaller hash counts as earlier.  Texts shorter than ``LENGTH`` are kept whole.  An empty table gives no rows.
 Only id and text are read.
 """
 
@@ -35,14 +43,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm._shared import materialize, slices, text_of
+from plumbline.llm._shared import MOST_TASKS, by_key, materialize, release, slices, text_of
 from plumbline.llm._words import BYTE, _power, chunks, mix
 from plumbline.llm.suffixes import equal_next, suffix_order
 
 LENGTH, GRAM = 100, 32
 SLICE = 1_000_000
-PARTS = 64
-_SAMPLE = np.dtype([("h", "<u8"), ("t", "<i8"), ("p", "<u4")])
+#: bytes of texts that are settled together before anything is dealt out
+BLOCK = 8 << 20
+#: bytes of a part; a small corpus has as many as LEAST_PARTS smaller ones
+PART, SMALL_PART, LEAST_PARTS = 32 << 20, 1 << 20, 64
+#: occurrences from which an anchor is hot: so many, or as many as leave MOST_HOT hot ones
+HOT, MOST_HOT = 4096, 1 << 20
+_SAMPLE = np.dtype([("h", "<u8"), ("t", "<i8"), ("p", "<u4"), ("n", "<u4")])
 _SPAN = np.dtype([("g", "<u8"), ("c", "<u8"), ("o", "<i8"), ("t", "<i8"), ("a", "<u4"), ("n", "<u4")])
 
 
@@ -94,17 +107,47 @@ def text_key(data: bytes) -> int:
     return int.from_bytes(hashlib.sha256(data).digest()[:8], "big", signed=True)
 
 
-def _dealt(rows: np.ndarray, key: str, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    part = (mix(rows[key]) % np.uint64(count)).astype(np.int64)
+def number_of_parts(size: int) -> int:
+    return max(1, min(LEAST_PARTS, size // SMALL_PART), size // PART)
+
+
+def _blobs(keys: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, its rows) by the hashes in keys."""
+    part = (mix(keys) % np.uint64(count)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    return part, order, np.searchsorted(part[order], np.arange(count + 1))
+    cut = [0, *(np.flatnonzero(np.diff(part[order])) + 1), len(order)]
+    for x, y in zip(cut, cut[1:], strict=False):
+        if y > x:
+            yield int(part[order[x]]), order[x:y]
+
+
+def _part_of(t: int, count: int) -> int:
+    return int(mix(np.array([t], np.int64).view(np.uint64))[0] % np.uint64(count))
 
 
 def _samples(rows: DataFrame, count: int) -> DataFrame:
-    """part, data: hash, text and place of every anchor, packed; copies within a task count once."""
+    """part, done, t, data.  Not done: hash, text, place and number of anchors, packed; else places of the text t that are shared.
+
+    Copies within a task count once.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
+        held: list[np.ndarray] = []
+        size = 0
+
+        def block() -> pd.DataFrame:
+            own = np.concatenate(held)
+            own = own[np.argsort(own["h"], kind="stable")]
+            edge = np.flatnonzero(np.concatenate(([True], own["h"][1:] != own["h"][:-1])))
+            times = np.diff(np.concatenate((edge, [len(own)])))
+            many = np.repeat(times > 1, times)
+            sent = own[edge]
+            sent["n"] = times
+            out = [(f, False, 0, sent[i].tobytes()) for f, i in _blobs(sent["h"], count)]
+            out += [(_part_of(t, count), True, t, d) for t, d in _by_text(own["t"][many], own["p"][many]).itertuples(index=False)]
+            return pd.DataFrame(out, columns=["part", "done", "t", "data"])
+
         for b in slices(batches):
             texts, keys = [], []
             for t in b["__text"]:
@@ -113,19 +156,19 @@ def _samples(rows: DataFrame, count: int) -> DataFrame:
                     seen.add(k)
                     texts.append(data)
                     keys.append(k)
-            out = []
             for lo, hi in chunks(texts):
                 x = Anchors(texts[lo:hi])
-                rows = np.empty(len(x.place), _SAMPLE)
+                rows = np.zeros(len(x.place), _SAMPLE)
                 rows["h"], rows["t"], rows["p"] = x.hash, np.array(keys[lo:hi], np.int64)[x.of], x.place - x.offset[x.of]
-                out.append(rows)
-            if out:
-                packed = np.concatenate(out)
-                _, order, cut = _dealt(packed, "h", count)
-                packed = packed[order]
-                yield pd.DataFrame([(f, packed[x:y].tobytes()) for f, (x, y) in enumerate(zip(cut, cut[1:], strict=False)) if y > x], columns=["part", "data"])
+                held.append(rows)
+                size += len(x.data)
+                if size >= BLOCK:
+                    yield block()
+                    held, size = [], 0
+        if sum(map(len, held)):
+            yield block()
 
-    return rows.select("__text").mapInPandas(run, "part int, data binary")
+    return rows.select("__text").mapInPandas(run, "part int, done boolean, t long, data binary")
 
 
 def _by_text(t: np.ndarray, values: np.ndarray) -> pd.DataFrame:
@@ -135,36 +178,102 @@ def _by_text(t: np.ndarray, values: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame([(int(t[x]), values[x:y].tobytes()) for x, y in zip(edge, edge[1:], strict=False)], columns=["t", "data"])
 
 
-def _shared(samples: DataFrame, count: int) -> DataFrame:
-    """t, data: places of anchors that occur twice or more, packed."""
+def _shared(samples: DataFrame, count: int, hot: int) -> DataFrame:
+    """t, data: places of anchors that occur twice or more, packed; data null: t is the hash of a hot anchor."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        blobs: dict[int, list[bytes]] = {}
-        for b in batches:
-            for f, d in zip(b["part"], b["data"], strict=True):
-                blobs.setdefault(f, []).append(d)
-        for f in list(blobs):
-            rows = np.frombuffer(b"".join(blobs.pop(f)), _SAMPLE)
+        for _, d in by_key(batches, ["part"]):
+            known = d["done"].to_numpy(bool)
+            if known.any():
+                yield d.loc[known, ["t", "data"]]
+            rows = np.frombuffer(b"".join(d.loc[~known, "data"]), _SAMPLE)
             rows = rows[np.lexsort((rows["p"], rows["t"], rows["h"]))]
-            same = rows["h"][1:] == rows["h"][:-1]
             # copies of a text come from several tasks
-            twin = same & (rows["t"][1:] == rows["t"][:-1]) & (rows["p"][1:] == rows["p"][:-1])
-            rows = rows[np.concatenate(([True], ~twin))]
-            same = rows["h"][1:] == rows["h"][:-1]
-            rows = rows[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-            yield _by_text(rows["t"], rows["p"])
+            twin = (rows["h"][1:] == rows["h"][:-1]) & (rows["t"][1:] == rows["t"][:-1]) & (rows["p"][1:] == rows["p"][:-1]) & (rows["n"][1:] == 1) & (rows["n"][:-1] == 1)
+            rows = rows[np.concatenate(([True], ~twin))] if len(rows) else rows
+            edge = np.flatnonzero(np.concatenate(([True], rows["h"][1:] != rows["h"][:-1]))) if len(rows) else np.empty(0, np.int64)
+            if not len(edge):
+                continue
+            total = np.add.reduceat(rows["n"].astype(np.int64), edge)
+            own = rows[np.repeat(total, np.diff(np.concatenate((edge, [len(rows)])))) > 1]
+            own = own[own["n"] == 1]
+            yield _by_text(own["t"], own["p"])
+            yield pd.DataFrame({"t": rows["h"][edge[total >= hot]].view(np.int64), "data": None})
+
+    return samples.repartition(min(count, MOST_TASKS), "part").sortWithinPartitions("part").mapInPandas(run, "t long, data binary")
+
+
+def merged(t: np.ndarray, start: np.ndarray, end: np.ndarray) -> pd.DataFrame:
+    """t, data: byte ranges by text, those that touch made one, packed as pairs."""
+    order = np.lexsort((start, t))
+    t, start, end = t[order], start[order], end[order]
+    if not len(t):
+        return _by_text(t, np.empty((0, 2), np.int64))
+    # ends grow within a text once texts are set apart
+    base = np.cumsum(np.concatenate(([False], t[1:] != t[:-1]))).astype(np.int64) << 40
+    upto = np.maximum.accumulate(end + base)
+    new = np.concatenate(([True], (start + base)[1:] > upto[:-1]))
+    last = np.concatenate((np.flatnonzero(new)[1:] - 1, [len(t) - 1]))
+    return _by_text(t[new], np.stack((start[new], upto[last] - base[last]), axis=1))
+
+
+def _windows(meta: np.ndarray, content: list[bytes]) -> np.ndarray:
+    """The spans' single strings as spans of their own; g and c are the string's hash."""
+    data = np.frombuffer(b"".join(content), np.uint8)
+    size = meta["n"].astype(np.int64)
+    offset = np.concatenate(([0], np.cumsum(size)))[:-1]
+    each = size - LENGTH + 1
+    of = np.repeat(np.arange(len(meta)), each)
+    within = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
+    start = offset[of] + within
+    up, down = _power(len(data) + 1)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE[data] * up[: len(data)], dtype=np.uint64)))
+    out = meta[of]
+    out["c"] = out["g"] = mix((total[start + LENGTH] - total[start]) * down[start] + np.uint64(LENGTH))
+    out["a"], out["n"] = out["a"] + within, LENGTH
+    return out
+
+
+def _earliest(meta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the earliest of equal spans, and of the others."""
+    order = np.lexsort((meta["a"], meta["t"], meta["o"], meta["c"], meta["g"]))
+    m = meta[order]
+    lead = np.concatenate(([True], (m["g"][1:] != m["g"][:-1]) | (m["c"][1:] != m["c"][:-1]))) if len(m) else np.zeros(0, bool)
+    return order[lead], order[~lead]
 
-    return samples.repartition(count, "part").mapInPandas(run, "t long, data binary")
 
+def _spans(texts: DataFrame, hot: list[int], count: int) -> DataFrame:
+    """part, done, t, meta, data; texts: o (order), t, __text, places.
 
-def _spans(texts: DataFrame, count: int) -> DataFrame:
-    """part, meta, data: the spans of shared anchors and their bytes; texts: o (order), t, __text, places."""
+    Not done: spans of shared anchors and their bytes; in parts below 0 single strings of hot
+    anchors, without bytes.  Else data are ranges of the text t that are repeats.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hot = np.sort(np.array(sent.value, np.int64).view(np.uint64))
+        meta: list[np.ndarray] = []
+        data: list[bytes] = []
+        size = 0
+
+        def block() -> pd.DataFrame:
+            rows = np.concatenate(meta)
+            lead, rest = _earliest(rows)
+            gone = [rows[rest]]
+            cut = np.isin(rows["g"][lead], hot)
+            single = _windows(rows[lead[cut]], [data[i] for i in lead[cut]])
+            first, again = _earliest(single)
+            gone.append(single[again])
+            single, lead = single[first], lead[~cut]
+            out = [(f, False, 0, rows[lead[i]].tobytes(), b"".join(data[k] for k in lead[i])) for f, i in _blobs(rows["g"][lead], count)]
+            out += [(-1 - f, False, 0, single[i].tobytes(), b"") for f, i in _blobs(single["g"], count)]
+            g = np.concatenate(gone)
+            ranges = merged(g["t"], g["a"].astype(np.int64), g["a"].astype(np.int64) + g["n"])
+            out += [(_part_of(t, count), True, t, None, d) for t, d in ranges.itertuples(index=False)]
+            return pd.DataFrame(out, columns=["part", "done", "t", "meta", "data"])
+
         for b in slices(batches):
             texts = [t.encode() for t in b["__text"]]
-            meta: list[np.ndarray] = []
-            data: list[bytes] = []
             for lo, hi in chunks(texts):
                 x = Anchors(texts[lo:hi])
                 own = np.zeros(len(x.place), bool)
@@ -180,12 +289,14 @@ def _spans(texts: DataFrame, count: int) -> DataFrame:
                 meta.append(rows)
                 raw = x.data.tobytes()
                 data += [raw[p:q] for p, q in zip(a.tolist(), end.tolist(), strict=True)]
-            rows = np.concatenate(meta) if meta else np.empty(0, _SPAN)
-            if len(rows):
-                _, order, cut = _dealt(rows, "g", count)
-                yield pd.DataFrame([(f, rows[order[x:y]].tobytes(), b"".join(data[i] for i in order[x:y])) for f, (x, y) in enumerate(zip(cut, cut[1:], strict=False)) if y > x], columns=["part", "meta", "data"])
+                size += len(raw)
+                if size >= BLOCK:
+                    yield block()
+                    meta, data, size = [], [], 0
+        if sum(map(len, meta)):
+            yield block()
 
-    return texts.mapInPandas(run, "part int, meta binary, data binary")
+    return texts.mapInPandas(run, "part int, done boolean, t long, meta binary, data binary")
 
 
 def settle(meta: np.ndarray, content: list[bytes]) -> np.ndarray:
@@ -193,12 +304,9 @@ def settle(meta: np.ndarray, content: list[bytes]) -> np.ndarray:
 
     content has the bytes of each span; spans with equal g and c are equal.
     """
-    order = np.lexsort((meta["a"], meta["t"], meta["o"], meta["c"], meta["g"]))
-    m = meta[order]
-    lead = np.concatenate(([True], (m["g"][1:] != m["g"][:-1]) | (m["c"][1:] != m["c"][:-1])))
-    out = [np.stack((order[~lead], np.zeros(int((~lead).sum()), np.int64), m["n"][~lead].astype(np.int64) - LENGTH), axis=1)]
+    kept, rest = _earliest(meta)
+    out = [np.stack((rest, np.zeros(len(rest), np.int64), meta["n"][rest].astype(np.int64) - LENGTH), axis=1)]
     # anchors whose spans differ
-    kept = order[lead]
     g = meta["g"][kept]
     alike = np.concatenate(([False], g[1:] == g[:-1]))
     many = alike | np.concatenate((alike[1:], [False])) if len(g) else alike
@@ -243,31 +351,35 @@ def _removed(spans: DataFrame, count: int) -> DataFrame:
     """t, data: byte ranges to remove from a text, packed as pairs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, tuple[list[np.ndarray], list[bytes], set]] = {}
-        for b in batches:
-            for f, m, d in zip(b["part"], b["meta"], b["data"], strict=True):
-                meta, content, seen = held.setdefault(f, ([], [], set()))
-                rows = np.frombuffer(m, _SPAN)
-                end = np.cumsum(rows["n"].astype(np.int64)).tolist()
-                for key, n, e in zip((rows["g"] ^ mix(rows["c"])).tolist(), rows["n"].tolist(), end, strict=True):
-                    # the bytes of equal spans are kept once
-                    content.append(b"" if key in seen else d[e - n : e])
-                    seen.add(key)
-                meta.append(rows)
-        for f in list(held):
-            meta, content, _ = held.pop(f)
-            rows = np.concatenate(meta)
-            kept = {}
-            for i, (g, c, d) in enumerate(zip(rows["g"].tolist(), rows["c"].tolist(), content, strict=True)):
-                if d:
-                    kept[g, c] = d
-                del i
-            full = [kept[g, c] for g, c in zip(rows["g"].tolist(), rows["c"].tolist(), strict=True)]
-            found = settle(rows, full)
+        for (f,), d in by_key(batches, ["part"]):
+            known = d["done"].to_numpy(bool)
+            if known.any():
+                yield d.loc[known, ["t", "data"]]
+            d = d[~known]
+            if not len(d):
+                continue
+            rows = np.frombuffer(b"".join(d["meta"]), _SPAN)
+            if f < 0:
+                rest = rows[_earliest(rows)[1]]
+                yield merged(rest["t"], rest["a"].astype(np.int64), rest["a"].astype(np.int64) + LENGTH)
+                continue
+            raw = b"".join(d["data"])
+            end = np.cumsum(rows["n"].astype(np.int64))
+            found = settle(rows, _Slices(raw, end - rows["n"], end))
             a = rows["a"][found[:, 0]].astype(np.int64)
-            yield _by_text(rows["t"][found[:, 0]], np.stack((a + found[:, 1], a + found[:, 2] + LENGTH), axis=1))
+            yield merged(rows["t"][found[:, 0]], a + found[:, 1], a + found[:, 2] + LENGTH)
+
+    return spans.repartition(min(2 * count, MOST_TASKS) if count > 1 else 1, "part").sortWithinPartitions("part").mapInPandas(run, "t long, data binary")
+
+
+class _Slices:
+    """Pieces of bytes, made when they are asked for."""
+
+    def __init__(self, data: bytes, start: np.ndarray, end: np.ndarray):
+        self.data, self.start, self.end = data, start, end
 
-    return spans.repartition(count, "part").mapInPandas(run, "t long, data binary")
+    def __getitem__(self, i: int) -> bytes:
+        return self.data[self.start[i] : self.end[i]]
 
 
 def _cut(texts: DataFrame) -> DataFrame:
@@ -298,14 +410,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # the first 64 bits of the hash, signed
     key = F.expr("cast(conv(substr(sha, 1, 16), 16, -10) as bigint)")
     light = materialize(rows.select("__id", "o", "sha", key.alias("t"), F.octet_length("__text").cast("long").alias("n_bytes")))
-    first = light.groupBy("t").agg(F.min("o").alias("o"))
-    shared = _shared(_samples(rows, PARTS), PARTS).groupBy("t").agg(F.collect_list("data").alias("places")).join(first, "t")
-    texts = rows.withColumn("t", key).select("o", "t", "__text").join(shared, ["t", "o"]).dropDuplicates(["t"])
-    texts = materialize(texts)
-    ranges = _removed(_spans(texts, PARTS), PARTS).groupBy("t").agg(F.collect_list("data").alias("ranges"))
+    first = materialize(light.groupBy("t").agg(F.min("o").alias("first"), F.first("n_bytes").alias("size")))
+    size = first.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    count = number_of_parts(size)
+    found = materialize(_shared(_samples(rows, count), count, max(HOT, size // (35 * MOST_HOT))))
+    hot = [r["t"] for r in found.filter("data is null").select("t").collect()]
+    shared = found.filter("data is not null").groupBy("t").agg(F.collect_list("data").alias("places")).join(first.select("t", F.col("first").alias("o")), "t")
+    # equal rows of the smallest id come together by the join, and one of them stays
+    texts = materialize(rows.withColumn("t", key).select("o", "t", "__text").join(shared, ["t", "o"]).dropDuplicates(["t", "o"]))
+    release(found)
+    ranges = _removed(_spans(texts, hot, count), count).groupBy("t").agg(F.collect_list("data").alias("ranges"))
     cut = _cut(texts.select("t", "__text").join(ranges, "t"))
-    d = light.join(first.withColumnRenamed("o", "__first"), "t").join(cut, "t", "left")
-    copy = F.col("o") > F.col("__first")
+    # written, so that the rows of a text with many copies can be split from each other
+    judged = materialize(first.drop("size").join(cut, "t", "left"))
+    release(first, texts)
+    d = light.join(judged, "t")
+    copy = F.col("o") > F.col("first")
     whole = copy & (F.col("n_bytes") >= LENGTH)
     empty = hashlib.sha256(b"").hexdigest()
     return d.select(

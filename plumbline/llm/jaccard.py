@@ -7,7 +7,8 @@ frequent at the very end.  A set's prefix are its first n - ceil(0.75 n) + 1
 shingles in that order; two sets with Jaccard similarity of 0.75 or more share
 one there.
 
-The order is cut into fragments, and each fragment is one task's work.  It counts for
+The order is cut into fragments of equal numbers of prefix shingles, as the sizes of
+the sets let expect them, and a task takes up one fragment at a time.  It counts for
 every pair of classes how many prefix shingles they share in it; these partial
 counts are summed a pair.  All common shingles up to the nearer end of the two
 prefixes are then counted, so the pair can link only if
@@ -25,8 +26,11 @@ partners while there are more than four pairs a class, then all.  A pair inside
 could only confirm it.  So no link between components is lost, and a group of
 thousands of near copies costs a few links a member.
 
-The choice of common shingles, by counts within blocks of texts, decides the
-cost and never the result.
+A shingle that very many texts hold never meets in one task: the rows of a ``HOT``
+one are dealt by shingle and class, leaders are found by a partial top-k, and
+pairs of a large shingle's classes are compared in cells of ``CELL`` by ``CELL``
+classes, which any task can take.  The choice of common and hot shingles, by counts
+within blocks of texts, decides the cost and never the result.
 
 Texts without words (also null ones) have an empty set and no link.  Copies and
 repeated rows share a class.  The component id is the smallest id reachable;
@@ -35,14 +39,16 @@ null ids come last.  An empty table gives no rows; only id and text are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumbline.llm._shared import materialize, parts, release, slices, text_of
+from plumbline.llm._shared import MOST_TASKS, by_key, materialize, parts, release, slices, text_of
 from plumbline.llm._words import mix, shingle_sets
 from plumbline.llm.components import components
 
@@ -55,6 +61,8 @@ COUNT_BLOCK = 3_000_000
 FRAGMENT_ROWS = 2_000_000
 VERIFY_BITS = 2
 HELD = 400_000
+#: texts with a shingle from which its rows are dealt by class too; classes of a shingle compared in one cell
+HOT, CELL = 2_000, 1_024
 _ROW = np.dtype([("k", "<u8"), ("c", "<i8"), ("n", "<i4")])
 
 
@@ -112,14 +120,34 @@ def signatures(rows: DataFrame) -> DataFrame:
     return out.withColumn("__id", F.col("__id").cast(rows.schema["__id"].dataType))
 
 
-def _prefixes(rows: DataFrame, common: list[int], fragments: int) -> DataFrame:
-    """part, data: the prefix shingles of every class in a fragment of the order, packed."""
-    sent = rows.sparkSession.sparkContext.broadcast(common)
+def fragment_edges(sizes: list[tuple[float, int]], fragments: int) -> np.ndarray:
+    """The inner edges of fragments, as shares of the hash range; sizes: (n, sets of that size).
+
+    Of n uniform hashes min(Bin(n, x), prefix) are prefix hashes below the share
+    x; the binomial is taken as normal.
+    """
+    x = np.concatenate((np.linspace(0, 0.4, 1601), np.linspace(0.4, 1, 401)[1:]))
+    below = np.zeros(len(x))
+    erf = np.vectorize(math.erf)
+    for n, count in sizes:
+        p, mean, spread = prefix_length(int(n)), n * x, np.sqrt(n * x * (1 - x)) + 1e-9
+        z = (p - mean) / spread
+        under = (p - mean) * (1 + erf(z / math.sqrt(2))) / 2 + spread * np.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+        below += count * np.clip(p - under, 0, None)
+    below = np.maximum.accumulate(below)
+    return np.interp(np.arange(1, fragments) / fragments * below[-1], below, x) if below[-1] > 0 else np.arange(1, fragments) / fragments
+
+
+def _prefixes(rows: DataFrame, common: list[int], hot: int, edges: np.ndarray) -> DataFrame:
+    """part, data: the prefix shingles of every class in a fragment of the order, packed; those of the last hot common ones in parts below 0."""
+    sent = rows.sparkSession.sparkContext.broadcast((common, edges))
+    fragments = len(edges) + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = np.array(sent.value, np.uint64)
+        last, cuts = np.array(sent.value[0], np.uint64), sent.value[1]
         order = np.argsort(last)
         known, rank = last[order], np.uint64(1 << 63) + order.astype(np.uint64)
+        first_hot = np.uint64((1 << 63) + len(last) - hot)
         seen: set[int] = set()
         for b in slices(batches):
             out: list[np.ndarray] = []
@@ -137,13 +165,14 @@ def _prefixes(rows: DataFrame, common: list[int], fragments: int) -> DataFrame:
             if not out:
                 continue
             packed = np.concatenate(out)
-            frag = np.minimum(packed["k"].astype(np.float64) / (0.3 * 2.0**63) * (fragments - 1), fragments - 1).astype(np.int64)
-            late = packed["k"] >= np.uint64(1 << 63)
+            frag = np.searchsorted(cuts, packed["k"].astype(np.float64) / 2.0**63, "right").astype(np.int64)
+            late, most = packed["k"] >= np.uint64(1 << 63), packed["k"] >= first_hot
             frag[late] = (mix(packed["k"][late]) % np.uint64(fragments)).astype(np.int64)
+            frag[most] = -1 - (mix(packed["k"][most] ^ mix(packed["c"][most].view(np.uint64))) % np.uint64(fragments)).astype(np.int64)
             order2 = np.argsort(frag, kind="stable")
-            cut = np.searchsorted(frag[order2], np.arange(fragments + 1))
-            packed = packed[order2]
-            yield pd.DataFrame([(f, packed[x:y].tobytes()) for f, (x, y) in enumerate(zip(cut, cut[1:], strict=False)) if y > x], columns=["part", "data"])
+            packed, frag = packed[order2], frag[order2]
+            cut = [0, *(np.flatnonzero(frag[1:] != frag[:-1]) + 1), len(frag)]
+            yield pd.DataFrame([(frag[x], packed[x:y].tobytes()) for x, y in zip(cut, cut[1:], strict=False)], columns=["part", "data"])
 
     return rows.select("__text").mapInPandas(run, "part int, data binary")
 
@@ -190,19 +219,22 @@ def _fragment_pairs(prefixes: DataFrame, fragments: int) -> DataFrame:
     """kind 0: a pair's count in a fragment; 1: of class a, how many shingles are in small groups; 2: a row (shingle a, class b) of a large group."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        blobs: dict[int, list[bytes]] = {}
-        for b in batches:
-            for f, d in zip(b["part"], b["data"], strict=True):
-                blobs.setdefault(f, []).append(d)
-        for f in list(blobs):
-            rows = np.frombuffer(b"".join(blobs.pop(f)), _ROW)
+        for (f,), blobs in by_key(batches, ["part"]):
+            rows = np.frombuffer(b"".join(blobs["data"]), _ROW)
+            if f < 0:
+                # a class may come from several tasks
+                rows = rows[np.unique(rows[["k", "c"]], return_index=True)[1]]
+                for lo in range(0, len(rows), HELD):
+                    own = rows[lo : lo + HELD]
+                    yield _pair_frame(2, own["k"].view(np.int64), own["c"], own["n"], own["n"], 1)
+                continue
             rows = rows[np.argsort(rows["k"], kind="stable")]
             edge = np.flatnonzero(np.concatenate(([True], rows["k"][1:] != rows["k"][:-1], [True]))) if len(rows) else np.zeros(1, np.int64)
             size = np.diff(edge)
             first, second, held, in_small = [], [], 0, []
             for at, m in zip(edge[:-1][size > 1], size[size > 1], strict=True):
                 group = rows[at : at + m]
-                group = group[np.unique(group["c"], return_index=True)[1]]  # a class may come from several tasks
+                group = group[np.unique(group["c"], return_index=True)[1]]
                 if len(group) < 2:
                     continue
                 group = group[np.argsort(group["n"], kind="stable")]
@@ -222,56 +254,48 @@ def _fragment_pairs(prefixes: DataFrame, fragments: int) -> DataFrame:
                 c, n = np.unique(np.concatenate(in_small), return_counts=True)
                 yield _pair_frame(1, c, c, n, n, n)
 
-    return prefixes.repartition(fragments, "part").mapInPandas(run, _PAIRS)
+    return prefixes.repartition(min(fragments, MOST_TASKS), "part").sortWithinPartitions("part").mapInPandas(run, _PAIRS)
 
 
-def _leader_pairs(rows: DataFrame, count: int) -> DataFrame:
-    """Pairs of a large group's classes with its most typical ones; rows: a shingle, b class, na size, s score."""
+def _fits() -> Column:
+    """Whether the sizes na and nb allow a link."""
+    return 4 * F.least("na", "nb").cast("long") >= 3 * F.greatest("na", "nb").cast("long")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [b for b in batches if len(b)]
-        if not held:
-            return
-        d = pd.concat(held, ignore_index=True).sort_values(["a", "s", "b"], ascending=[True, False, True], ignore_index=True)
-        c, n, of = d["b"].to_numpy(), d["na"].to_numpy(), d["a"].to_numpy()
-        edge = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1], [True])))
-        done: list[np.ndarray] = []
-        for x, y in zip(edge, edge[1:], strict=False):
-            k = min(LEADERS, y - x)
-            i, j = np.repeat(np.arange(x, x + k), y - x), np.tile(np.arange(x, y), k)
-            own = (c[i] != c[j]) & _size_filter(n[i], n[j])
-            i, j = i[own], j[own]
-            swap = c[i] > c[j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            done.append(np.unique(np.stack((c[i], c[j], n[i], n[j]), axis=1), axis=0))
-            if sum(map(len, done)) > HELD:
-                done = [np.unique(np.concatenate(done), axis=0)]
-        if done:
-            yield pd.DataFrame(np.unique(np.concatenate(done), axis=0), columns=["a", "b", "na", "nb"])
-
-    return rows.repartition(max(1, count), "a").mapInPandas(run, "a long, b long, na int, nb int")
-
-
-def _cross_pairs(rows: DataFrame, count: int) -> DataFrame:
+
+def _leader_pairs(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs of a large group's classes with its most typical ones, a table to release); large: a shingle, b class, na size."""
+    typical = large.groupBy("b").agg((F.count(F.lit(1)) / F.first("na")).alias("s"))
+    best = W.partitionBy("a").orderBy(F.desc("s"), "b")
+    top = large.join(typical, "b").withColumn("at", F.row_number().over(best)).filter(F.col("at") <= LEADERS)
+    # written, so that its size is known: a small one is broadcast, and the rows of a large shingle stay where they are
+    top = materialize(top.select("a", F.col("b").alias("c"), F.col("na").alias("nb")))
+    both = large.join(top, "a").filter(F.col("b") != F.col("c")).filter(_fits())
+    swap = F.col("b") > F.col("c")
+    ends = [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(name) for x, y, name in (("b", "c", "a"), ("c", "b", "b"), ("na", "nb", "na"), ("nb", "na", "nb"))]
+    return both.select(*ends).distinct(), top
+
+
+def _cross_pairs(known: DataFrame, count: int) -> DataFrame:
     """Pairs of unlike roots within large groups, once each, with their common large shingles.
 
-    rows: a shingle, b class, na size, root, own (all large shingles of the
-    class, sorted), other (how many of its shingles are in small groups).  A pair belongs to its smallest common one.  Pairs that can't link even
-    if all the others that are shared with any class were common are left out.
+    known: a shingle, m its classes, main its most frequent root, b class, na size, root, own (all
+    large shingles of the class, sorted), other (how many of its shingles are in
+    small groups).  A group's classes are dealt into buckets of about CELL;
+    those of other roots than the main one meet all buckets, a pair of buckets being
+    one cell.  A pair belongs to its smallest common shingle.  Pairs that can't
+    link even if all the others that are shared with any class were common are left out.
     """
 
-    def group_pairs(d: pd.DataFrame, token: int) -> Iterator[pd.DataFrame]:
+    def cell_pairs(d: pd.DataFrame, token: int) -> Iterator[pd.DataFrame]:
         d = d.sort_values("b", ignore_index=True)
         c, n, root = d["b"].to_numpy(), d["na"].to_numpy().astype(np.int64), d["root"].to_numpy()
+        main, is_left = root == d["main"].to_numpy(), d["side"].to_numpy() == 0
         size = d["own"].map(len).to_numpy()
-        flat = np.concatenate(d["own"].to_numpy())
-        tokens, place = np.unique(flat, return_inverse=True)
+        tokens, place = np.unique(np.concatenate(d["own"].to_numpy()), return_inverse=True)
         at = int(np.searchsorted(tokens, token))
         row = np.repeat(np.arange(len(d)), size)
         rest, other = n - prefix_length(n), d["other"].to_numpy().astype(np.int64)
-        roots, times = np.unique(root, return_counts=True)
-        main = root == roots[np.argmax(times)]
-        some = np.flatnonzero(~main)
+        some, all_rows = np.flatnonzero(is_left), np.flatnonzero(~is_left)
 
         def dense(rows: np.ndarray) -> np.ndarray:
             lookup = np.full(len(d), -1)
@@ -281,30 +305,34 @@ def _cross_pairs(rows: DataFrame, count: int) -> DataFrame:
             m[lookup[row[own]], place[own]] = 1
             return m
 
-        for y in range(0, len(d), 2048):
-            right = np.arange(y, min(y + 2048, len(d)))
+        for y in range(0, len(all_rows), 2048):
+            right = all_rows[y : y + 2048]
             there = dense(right)
             for x in range(0, len(some), 512):
                 left = some[x : x + 512]
                 here = dense(left)
                 both = here @ there.T
-                fits = (root[left][:, None] != root[right]) & (main[right] | (left[:, None] < right))
+                fits = (root[left][:, None] != root[right]) & (main[right] | (c[left][:, None] < c[right]))
                 fits &= 4 * np.minimum(n[left][:, None], n[right]) >= 3 * np.maximum(n[left][:, None], n[right])
                 fits &= 7 * (both + np.minimum(other[left][:, None], other[right]) + np.maximum(rest[left][:, None], rest[right])) >= 3 * (n[left][:, None] + n[right])
                 fits &= here[:, :at] @ there[:, :at].T == 0
                 i, j = np.nonzero(fits)
                 if len(i):
                     p, q = left[i], right[j]
-                    p, q = np.minimum(p, q), np.maximum(p, q)
+                    p, q = np.where(c[p] < c[q], p, q), np.where(c[p] < c[q], q, p)
                     yield pd.DataFrame({"a": c[p], "b": c[q], "na": n[p].astype(np.int32), "nb": n[q].astype(np.int32), "n": both[i, j].astype(np.int64)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [b for b in batches if len(b)]
-        if held:
-            for token, d in pd.concat(held, ignore_index=True).groupby("a", sort=False):
-                yield from group_pairs(d, token)
+        for (token, _, _), d in by_key(batches, ["a", "i", "j"]):
+            yield from cell_pairs(d, token)
 
-    return rows.repartition(max(1, count), "a").mapInPandas(run, "a long, b long, na int, nb int, n long")
+    buckets = F.ceil(F.col("m") / CELL).cast("int")
+    d = known.withColumn("bucket", F.pmod(F.xxhash64("b"), buckets).cast("int")).withColumn("each", F.explode(F.sequence(F.lit(0), buckets - 1)))
+    columns = ["a", "b", "na", "root", "main", "own", "other"]
+    left = d.filter("root <> main").select(*columns, F.lit(0).alias("side"), F.col("bucket").alias("i"), F.col("each").alias("j"))
+    right = d.select(*columns, F.lit(1).alias("side"), F.col("each").alias("i"), F.col("bucket").alias("j"))
+    dealt = left.unionByName(right).repartition(max(1, count), "a", "i", "j").sortWithinPartitions("a", "i", "j")
+    return dealt.mapInPandas(run, "a long, b long, na int, nb int, n long")
 
 
 def _can_link() -> Column:
@@ -365,26 +393,27 @@ def _between(pairs: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
     return out, out.count()
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id (the smallest id reachable by links)."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(texts: __id, row, n, c of every row; groups: c, root of every class)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__text")).withColumn("row", F.xxhash64("__id", "__text"))
     found = materialize(signatures(rows))
     texts = found.filter("row is not null")
-    common = found.filter("row is null").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(MOST_COMMON)
+    common = found.filter("row is null").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(MOST_COMMON).collect()
     # the most frequent at the end of the order
-    last = [r["c"] for r in common.collect()][::-1]
-    classes = texts.filter("c is not null").groupBy("c").agg(F.min("row").alias("row"), F.min("__id").alias("__id"), F.first("n").alias("n"))
+    last, hot = [r["c"] for r in common][::-1], sum(r["n"] >= HOT for r in common)
+    classes = texts.filter("c is not null").groupBy("c").agg(F.min("row").alias("row"), F.first("n").alias("n"))
     shingles = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    fragments = max(8, parts(shingles // 4, FRAGMENT_ROWS))
+    fragments = max(8, parts(shingles // 4, FRAGMENT_ROWS, 1 << 30))
+    step = F.when(F.col("n") <= 64, F.col("n")).otherwise(F.floor(F.log2("n") * 8))
+    sizes = [(r["n"], r["k"]) for r in classes.groupBy(step.alias("s")).agg(F.avg("n").alias("n"), F.count(F.lit(1)).alias("k")).collect()]
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tried = materialize(_fragment_pairs(_prefixes(rows, last, fragments), fragments))
+    tried = materialize(_fragment_pairs(_prefixes(rows, last, hot, fragment_edges(sizes, fragments)), fragments))
     counted = tried.filter("kind = 0").select("a", "b", "na", "nb", "n")
     likely = materialize(counted.groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n")).filter(_can_link()))
     large = tried.filter("kind = 2").select("a", "b", "na")
-    typical = large.groupBy("b").agg((F.count(F.lit(1)) / F.first("na")).alias("s"))
-    leaders = _leader_pairs(large.join(typical, "b"), tasks)
+    leaders, top = _leader_pairs(large)
     pairs = materialize(_best(likely).unionByName(leaders).distinct())
 
     ends = likely.select(F.col("a").alias("c")).union(likely.select("b")).union(large.select("b")).distinct()
@@ -395,14 +424,15 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     roots = materialize(components(links))
     known = large.join(roots.select(F.col("node").alias("b"), "root"), "b", "left").select("a", "b", "na", F.coalesce("root", "b").alias("root"))
-    mixed = known.groupBy("a").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("a")
-    known = materialize(known.join(mixed, "a", "left_semi"))
+    mixed = known.groupBy("a", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("a").agg(F.sum("n").alias("m"), F.max(F.struct("n", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots"))
+    mixed = materialize(mixed.filter("roots > 1").drop("roots"))
+    known = materialize(known.join(mixed, "a"))
     lists = known.groupBy("b").agg(F.sort_array(F.collect_list("a")).alias("own"))
     others = tried.filter("kind = 1").groupBy(F.col("a").alias("b")).agg(F.sum("n").alias("other"))
     cross = _cross_pairs(known.join(lists, "b").join(others, "b", "left").fillna(0, ["other"]), tasks)
     more = cross.unionByName(counted.withColumn("n", F.col("n").cast("long"))).groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n")).filter(_can_link())
     more, left = _between(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), roots)
-    done = [tried, likely, pairs, cuts, links, roots, known, more]
+    done = [tried, likely, top, pairs, cuts, links, roots, mixed, known, more]
     for _ in range(ROUNDS):
         if left <= 4 * ends.count():
             break
@@ -418,8 +448,37 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         done.append(rest)
     roots = components(links)
     release(*done)
-    named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    smallest = named.groupBy("root").agg(F.min("__id").alias("component_id"))
-    named = named.join(smallest, "root").select("c", "component_id")
+    groups = texts.filter("c is not null").select("c").distinct().join(roots.withColumnRenamed("node", "c"), "c", "left")
+    return texts, groups.select("c", F.coalesce("root", "c").alias("root"))
+
+
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_shingles, component_id (the smallest id reachable by links)."""
+    texts, groups = _grouped(docs, id_col, text_col)
+    least = texts.filter("c is not null").groupBy("c").agg(F.min("__id").alias("__id")).join(groups, "c")
+    smallest = least.groupBy("root").agg(F.min("__id").alias("component_id"))
+    # written, so that the rows of a class with many copies can be split from each other
+    named = materialize(groups.join(smallest, "root").select("c", "component_id"))
     out = texts.join(named, "c", "left")
     return out.select(F.col("__id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("__id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each component: that of the smallest id, null last, and of equal ids that of the smallest hash of id and text.
+
+    Rows are told apart by id and text, so an id that stands on two texts loses
+    neither.  Rows equal in both count as one, also those without words;
+    of these the smallest by all their columns stays.
+    """
+    texts, groups = _grouped(docs, id_col, text_col)
+    each = texts.groupBy("row").agg(F.first("c").alias("c"), F.first("__id").alias("__id"), F.count(F.lit(1)).alias("k")).join(groups, "c", "left")
+    order = F.struct(F.col("__id").isNull(), "__id", "row")
+    best = materialize(each.filter("root is not null").groupBy("root").agg(F.min(order).alias("x")).select("root", F.col("x.row").alias("best")))
+    each = materialize(each.join(best, "root", "left").select(F.col("row").alias("__row"), (F.col("best").isNotNull() & (F.col("best") != F.col("row"))).alias("later"), (F.col("k") > 1).alias("again")))
+    again = materialize(each.filter("again and not later").select("__row"))
+    rows = docs.withColumn("__row", F.xxhash64(F.col(id_col), text_of(text_col)))
+    out = rows.join(each.filter("again or later").select("__row"), "__row", "left_anti").select(*docs.columns)
+    if again.isEmpty():
+        return out
+    one = rows.join(again, "__row", "left_semi").groupBy("__row").agg(F.min(F.struct(*docs.columns)).alias("x"))
+    return out.unionByName(one.select("x.*"))

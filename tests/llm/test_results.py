@@ -44,9 +44,10 @@ def near_texts(seed: int = 3, n: int = 150) -> dict[int, str]:
     return out
 
 
-@pytest.mark.parametrize("group", [2, jaccard.GROUP])
-def test_jaccard_components(spark, monkeypatch, group):
-    monkeypatch.setattr(jaccard, "GROUP", group)
+@pytest.mark.parametrize(("group", "hot", "cell"), [(2, 5, 7), (2, 10**9, 8192), (jaccard.GROUP, jaccard.HOT, jaccard.CELL)])
+def test_jaccard_components(spark, monkeypatch, group, hot, cell):
+    for name, value in (("GROUP", group), ("HOT", hot), ("CELL", cell)):
+        monkeypatch.setattr(jaccard, name, value)
     texts = near_texts()
     d = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_components(d).collect()}
@@ -78,7 +79,10 @@ def brute_repeats(texts: dict[int, str]) -> dict[int, tuple]:
     return out
 
 
-def test_repeats(spark, texts):
+@pytest.mark.parametrize(("hot", "small"), [(repeats.HOT, repeats.SMALL_PART), (3, 1 << 12), (10**9, 1 << 12)])
+def test_repeats(spark, monkeypatch, texts, hot, small):
+    for name, value in (("HOT", hot), ("SMALL_PART", small), ("BLOCK", small)):
+        monkeypatch.setattr(repeats, name, value)
     rng = random.Random(2)
     own = dict(texts)
     piece = "".join(rng.choice("abcd é") for _ in range(400))
@@ -126,11 +130,10 @@ def test_tokens_match_the_tokenizers_library(docs, texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    hard = ["", "  a  b\n\n c\t", "<|endoftext|> x", "日本語 🙂🏽     x", "don't WE'LL 123,456 \r\n  \n", "ſ K İ \x00", "a" * 300, "𝒜 ١٢٣ ½ Ⅷ"]
-    encode = packing.encoding().encode_ordinary
+    assert t.encode("x<|endoftext|>y", add_special_tokens=False).ids[1] == 50256
+    hard = ["", "  a  b\n\n c\t", "<|endoftext|> x", "x<|endoftext|>y", "two  <|endoftext|><|endoftext|>  \n<|endoftext|", "a <|ENDOFTEXT|> b   ", "日本語 🙂🏽     x", "don't WE'LL 123,456 \r\n  \n", "ſ K İ \x00", "a" * 300, "𝒜 ١٢٣ ½ Ⅷ"]
     for x in [*hard, *texts.values()]:
-        assert encode(x) == t.encode(x, add_special_tokens=False).ids
+        assert packing.token_ids(x) == t.encode(x, add_special_tokens=False).ids
 
 
 def test_packing_is_close_to_full():
@@ -212,9 +215,43 @@ def test_license_with_changes(spark):
     t = licenses.NOTICES["MIT-grant"].split()
     changed = ["Some", "words.", *t[:10], "indeed", *t[10:14], *t[15:], "more"]
     cut = ["Some", "words.", *t[:6], "and", "so", "on"]
-    d = spark.createDataFrame([(1, " ".join(changed)), (2, " ".join(cut))], "doc_id long, text string")
-    (r,) = licenses.scan_licenses(d).collect()
-    assert (r["doc_id"], r["license"], r["first_word"]) == (1, "MIT-grant", 2) and 0.9 < r["coverage"] < 1
+    whole = licenses.NOTICES["MIT-text"].split()
+    bsd = licenses.NOTICES["BSD-3-Clause"].replace("copyright holder", "Regents of the University")
+    rows = [(1, " ".join(changed)), (2, " ".join(cut)), (3, "Released under an MIT License."), (4, " ".join(["x", *whole, "y"])), (5, bsd)]
+    got = {(r["doc_id"], r["license"]): r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sorted(got) == [(1, "MIT-grant"), (3, "MIT"), (4, "MIT-text"), (5, "BSD-3-Clause")]
+    assert got[1, "MIT-grant"]["first_word"] == 2 and 0.9 < got[1, "MIT-grant"]["coverage"] < 1
+    assert got[3, "MIT"]["coverage"] == 0.8 and got[4, "MIT-text"]["coverage"] == 1
+
+
+def test_regions_against_every_window():
+    """Every stretch of a text is aligned with every template; what is found must be the same."""
+    rng = random.Random(4)
+    short = {n: t for n, t in licenses.NOTICES.items() if len(t.split()) < 45}
+    own = licenses.Notices(short)
+    vocabulary = [f"v{i}" for i in range(50)] + "the license of under software this".split()
+    texts = []
+    for k in range(60):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(0, 40))]
+        t = short[rng.choice(sorted(short))].split()
+        for _ in range(rng.randint(0, max(1, len(t) // 6))):
+            i = rng.randrange(len(t))
+            t[i : i + 1] = rng.choice([[], [rng.choice(vocabulary)], [t[i], rng.choice(vocabulary)]])
+        texts.append(" ".join([*words, *(t if k % 4 else []), *[rng.choice(vocabulary) for _ in range(30)]]).encode())
+    got = {(t, own.names[n]): k for t, n, _, k, _, _ in own.scan(texts)}
+    want = {}
+    for i, text in enumerate(texts):
+        d = decontamination.Templates([text])
+        words = d.plain.tolist()
+        for n, template in enumerate(own.words):
+            size = len(template)
+            best = max(len(licenses.align(words[x : x + size + 2 * (size // 4 + 1)], template)) for x in range(len(words)))
+            if best >= licenses.LEAST * size:
+                want[i, own.names[n]] = best
+    # of templates that overlap the longest match stays
+    assert set(got) <= set(want) and all(got[k] == want[k] for k in got)
+    for (i, name), k in want.items():
+        assert (i, name) in got or any(j == i and v >= k for (j, _), v in got.items())
 
 
 def test_language_held_out(spark):

@@ -24,10 +24,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; rows with equal ids are one document."""
-    groups = jaccard.similar_components(docs)
-    later = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__later")).distinct()
-    return docs.join(later, F.col("doc_id").eqNullSafe(F.col("__later")), "left_anti")
+    """One row of each group of near duplicates: the smallest id's, of equal ids one; rows with equal id and text are one row."""
+    return jaccard.without_duplicates(docs)
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

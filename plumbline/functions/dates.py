@@ -75,9 +75,92 @@ def local_date(ts: Column, zone: str = "Europe/Sofia") -> Column:
     return F.to_date(F.from_utc_timestamp(ts.cast("timestamp"), zone))
 
 
-def refresh_decision(now: Column, last: Column, zone: str = "Europe/Sofia", target: int = 185, evening: int = 1080, done_from: int = 120, most_wait: int = 360) -> Column:
-    """run, wait or skip at a UTC moment; minutes of the local day: the target, the evening, from when a refresh counts as today's."""
-    here, before = F.from_utc_timestamp(now, zone), F.from_utc_timestamp(last, zone)
-    at = F.hour(here) * 60 + F.minute(here)
-    done = (F.to_date(before) == F.to_date(here)) & (F.hour(before) * 60 + F.minute(before) >= done_from)
-    return F.when(at < target, "wait").when(at < evening, F.when(done, "skip").otherwise("run")).when(1440 - at + target > most_wait, "skip").otherwise("wait")
+def last_sunday(year: Column, month: int) -> Column:
+    """The last Sunday of a month, on which clocks change."""
+    return F.next_day(F.date_sub(F.last_day(F.make_date(year, F.lit(month), F.lit(1))), 7), "SU")
+
+
+def summer(ts: Column) -> Column:
+    """Whether a UTC moment falls in European summer time, by the rule: from 01:00 UTC on the last Sunday of March to that of October."""
+    start = F.to_timestamp(F.concat(last_sunday(F.year(ts), 3).cast("string"), F.lit(" 01:00:00")))
+    end = F.to_timestamp(F.concat(last_sunday(F.year(ts), 10).cast("string"), F.lit(" 01:00:00")))
+    return (ts >= start) & (ts < end)
+
+
+def offset_stamp(ts: Column, winter: int = 2) -> Column:
+    """A UTC moment as local time with its offset, as 2026-10-09T06:15:00+03:00."""
+    hours = winter + summer(ts).cast("int")
+    local = F.timestamp_seconds(F.unix_timestamp(ts) + hours * 3600)
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+"), F.lpad(hours.cast("string"), 2, "0"), F.lit(":00"))
+
+
+def months_from(today: Column, n: int = 6) -> Column:
+    """The first days of n months from today's on."""
+    first = F.trunc(today, "month")
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.add_months(first, k))
+
+
+_DAY, _MONTH = r"(?<!\d)(\d{1,2})", "(" + "|".join(MONTHS) + ")"
+_TO, _END = r"\s*(?:\p{Pd}|до)\s*", r"(?!\p{L})"
+
+
+def _anchored(day: Column, month: Column, published: Column) -> Column:
+    """A day of the publication's year or the next, not more than 60 days before it."""
+    options = F.array(*[_date(F.year(published) + k, month, day) for k in (0, 1)])
+    return F.array_min(F.filter(options, lambda x: x.isNotNull() & (x >= F.date_sub(published, 60))))
+
+
+def headline_dates(title: Column, published: Column) -> tuple[Column, Column]:
+    """(first, last) of the one date or range that a headline holds; null for none, for several and for one with a year."""
+    t = F.lower(title)
+    cross, span, one = "(?u)" + _DAY + r"\s+" + _MONTH + _TO + r"(\d{1,2})\s+" + _MONTH + _END, "(?u)" + _DAY + _TO + r"(\d{1,2})\s+" + _MONTH + _END, "(?u)" + _DAY + r"\s+" + _MONTH + _END
+    is_cross, is_span = F.rlike(t, F.lit(cross)), F.rlike(t, F.lit(span))
+
+    def n(p: str, i: int) -> Column:
+        return F.regexp_extract(t, p, i).try_cast("int")
+
+    def month(p: str, i: int) -> Column:
+        return month_number(F.regexp_extract(t, p, i))
+
+    first = F.when(is_cross, _anchored(n(cross, 1), month(cross, 2), published)).when(is_span, _anchored(n(span, 1), month(span, 3), published)).otherwise(_anchored(n(one, 1), month(one, 2), published))
+    last = F.when(is_cross, _anchored(n(cross, 3), month(cross, 4), published)).when(is_span, _date(F.year(first), month(span, 3), n(span, 2))).otherwise(first)
+    rest = F.when(is_cross, F.regexp_replace(t, cross, " ")).when(is_span, F.regexp_replace(t, span, " ")).otherwise(F.regexp_replace(t, one, " "))
+    several = F.rlike(rest, F.lit(one)) | (~is_cross & ~is_span & (F.size(F.regexp_extract_all(t, F.lit(one), F.lit(1))) != 1))
+    dated = F.rlike(t, F.lit(r"(?u)\b\d{1,2}\s+" + _MONTH + r"\s+\d{4}"))
+    last = F.when(last < first, F.add_months(last, 12)).otherwise(last)
+    fine = ~several & ~dated & first.isNotNull() & last.isNotNull()
+    return F.when(fine, first), F.when(fine, last)
+
+
+def field_dates(c: Column) -> tuple[Column, Column]:
+    """(first, last) of a field with one or two full dates."""
+    p = r"(?u)(\d{1,2})\s+" + _MONTH + r"\s+(\d{4})"
+    found = F.transform(F.regexp_extract_all(F.lower(c), F.lit(p), F.lit(0)), lambda x: _date(F.regexp_extract(x, p, 3).try_cast("int"), month_number(F.regexp_extract(x, p, 2)), F.regexp_extract(x, p, 1).try_cast("int")))
+    found = F.filter(found, lambda x: x.isNotNull())
+    a, b = F.get(found, F.lit(0)), F.get(found, F.size(found) - 1)
+    fine = F.size(found).between(1, 2) & (a <= b)
+    return F.when(fine, a), F.when(fine, b)
+
+
+def date_words(first: Column, last: Column, words: list[str] = MONTHS) -> Column:
+    """17–24 октомври 2026, and shorter or longer where the days, months or years are one or differ."""
+    def name(d: Column) -> Column:
+        return F.element_at(F.array(*map(F.lit, words)), F.month(d))
+
+    def day(d: Column) -> Column:
+        return F.dayofmonth(d).cast("string")
+
+    def year(d: Column) -> Column:
+        return F.year(d).cast("string")
+
+    whole = F.concat_ws(" ", day(last), name(last), year(last))
+    same_month = F.trunc(first, "month") == F.trunc(last, "month")
+    return (
+        F.when(first.isNull() | last.isNull(), None).when(first == last, whole).when(same_month, F.concat(day(first), F.lit("–"), whole))
+        .when(F.year(first) == F.year(last), F.concat(F.concat_ws(" ", day(first), name(first)), F.lit(" – "), whole)).otherwise(F.concat(F.concat_ws(" ", day(first), name(first), year(first)), F.lit(" – "), whole))
+    )
+
+
+def countdown(first: Column, today: Column) -> Column:
+    n = F.greatest(F.lit(0), F.datediff(first, today))
+    return F.when(n == 1, "СЛЕД 1 ДЕН").otherwise(F.concat(F.lit("СЛЕД "), n.cast("string"), F.lit(" ДНИ")))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from plumbline.operators.scan import running
+
 
 def due(state: DataFrame, today: str, recheck: int, retry: int) -> DataFrame:
     """Whether to look again: never looked, changed url, or old enough for its last outcome."""
@@ -19,11 +21,9 @@ def due(state: DataFrame, today: str, recheck: int, retry: int) -> DataFrame:
     return state.withColumn("reason", reason).filter("reason is not null")
 
 
-def budget_prefix(rows: DataFrame, group: str, order: list[str], size: str, limit: int) -> DataFrame:
+def budget_prefix(rows: DataFrame, group: str, order: list[Column], size: str, limit: int) -> DataFrame:
     """Rows by order while their sizes fit the group's budget; the first always does."""
-    w = W.partitionBy(group).orderBy(*order)
-    d = rows.withColumn("total", F.sum(size).over(w.rowsBetween(W.unboundedPreceding, 0))).withColumn("n", F.row_number().over(w))
-    return d.filter((F.col("total") <= limit) | (F.col("n") == 1)).drop("n")
+    return running(rows, [group], order, size).filter((F.col("total") <= limit) | (F.col("rank") == 1)).drop("rank")
 
 
 def round_robin(rows: DataFrame, group: str, order: list[str], cap: int) -> DataFrame:
@@ -40,39 +40,31 @@ def missing_from_cache(texts: DataFrame, cache: DataFrame, text: str) -> DataFra
     return texts.select(F.sha1(F.col(text).cast("binary")).alias("key"), text).groupBy("key").agg(F.first(text).alias(text)).join(cache.select("key"), "key", "left_anti")
 
 
-def next_fit(rows: DataFrame, group: str, order: str, size: str, most_rows: int, most_size: int) -> DataFrame:
-    """Batches of consecutive rows, by count and size; a row that is too large has its own."""
-
-    def batches(d: pd.DataFrame) -> pd.DataFrame:
-        d = d.sort_values(order, ignore_index=True)
-        number, held, total, out = 0, 0, 0, []
-        for s in d[size].tolist():
-            if held and (held == most_rows or total + s > most_size):
-                number, held, total = number + 1, 0, 0
-            held, total = held + 1, total + s
-            out.append(number)
-        return d[[group, order, size]].assign(batch=out)
-
-    kinds = dict(rows.dtypes)
-    return rows.select(group, order, size).groupBy(group).applyInPandas(batches, f"`{group}` {kinds[group]}, `{order}` {kinds[order]}, `{size}` {kinds[size]}, batch long")
-
-
 def leader_clusters(rows: DataFrame, group: str, order: str, tokens: str, least: int) -> DataFrame:
-    """Greedy clusters within a group: a row joins the first leader that shares least tokens, else leads."""
+    """Greedy clusters within a group: a row joins the first leader that shares least tokens, else leads.
+
+    Rows with one token set fare alike, as the first of them does, and a set with fewer than
+    least tokens joins nobody; so only the different sets of a group come to one task.
+    """
+    d = rows.select(group, order, F.array_sort(F.array_distinct(tokens)).alias("t"))
+    large = d.filter(F.size("t") >= least)
+    first = large.groupBy(group, "t").agg(F.min(order).alias("first"))
 
     def one(d: pd.DataFrame) -> pd.DataFrame:
         leaders: list[tuple[int, set]] = []
         out = []
-        for i, t in d.sort_values(order)[[order, tokens]].itertuples(index=False):
+        for i, t in d.sort_values("first")[["first", "t"]].itertuples(index=False):
             mine = set(t)
             leader = next((k for k, own in leaders if len(own & mine) >= least), None)
             if leader is None:
                 leaders.append((i, mine))
-            out.append((d[group].iloc[0], i, i if leader is None else leader))
-        return pd.DataFrame(out, columns=[group, order, "leader"])
+            out.append((d[group].iloc[0], list(t), i if leader is None else leader))
+        return pd.DataFrame(out, columns=[group, "t", "leader"])
 
-    kinds = dict(rows.dtypes)
-    return rows.groupBy(group).applyInPandas(one, f"`{group}` {kinds[group]}, `{order}` {kinds[order]}, leader {kinds[order]}")
+    kinds = dict(d.dtypes)
+    sets = first.groupBy(group).applyInPandas(one, f"`{group}` {kinds[group]}, t {kinds['t']}, leader {kinds[order]}")
+    joined = large.join(sets, [group, "t"]).select(group, order, "leader")
+    return joined.unionByName(d.filter(F.size("t") < least).select(group, order, F.col(order).alias("leader")))
 
 
 def override(columns: list[tuple[str, int]]) -> Column:
@@ -80,17 +72,6 @@ def override(columns: list[tuple[str, int]]) -> Column:
     return F.coalesce(*[F.when(F.length(F.trim(F.col(c))) >= n, F.trim(F.col(c))) for c, n in columns])
 
 
-def decide_deploy() -> Column:
-    """What to do with a finished run: columns conclusion, attempt, same_commit, age_minutes."""
-    return (
-        F.when(F.col("conclusion") == "success", F.when(F.col("same_commit"), "deploy").otherwise("skip: newer commit"))
-        .when(F.col("conclusion") == "cancelled", "skip: cancelled")
-        .when(F.col("attempt") >= 3, "give up")
-        .when(F.col("age_minutes") > 720, "skip: stale")
-        .otherwise("retry")
-    )
-
-
 def settle(previous: DataFrame, outcomes: DataFrame, key: str) -> DataFrame:
     """Counters after a run: a success resets misses, a failure adds one, untouched keys stay."""
     d = previous.select(key, "misses", "last_ok").join(outcomes.select(key, "ok", "at"), key, "full")

@@ -18,11 +18,31 @@ def read_sidecar(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
-def sanitised(rows: DataFrame, rules: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected rows with the first rule they break); rules are SQL tests by name."""
-    reason = F.coalesce(*[F.when(~F.coalesce(F.expr(test), F.lit(False)), name) for name, test in rules.items()])
-    d = rows.withColumn("reason", reason)
-    return d.filter("reason is null").drop("reason"), d.filter("reason is not null")
+def sanitised(rows: DataFrame, key: str, rules: dict[str, str], entry: str = "true") -> tuple[DataFrame, DataFrame]:
+    """(rows with malformed parts nulled, what was dropped: key and part).
+
+    rules: an SQL test by column; null is well-formed.  A row that fails the entry test goes as a whole.
+    """
+    whole = F.coalesce(F.expr(entry), F.lit(False))
+    bad = {c: F.col(c).isNotNull() & ~F.coalesce(F.expr(test), F.lit(False)) for c, test in rules.items()}
+    parts = F.when(~whole, F.array(F.lit("entry"))).otherwise(F.filter(F.array(*[F.when(b, c) for c, b in bad.items()]), lambda x: x.isNotNull()))
+    d = rows.withColumn("__dropped", parts)
+    clean = d.filter(whole).select(*[F.when(~bad[c], F.col(c)).alias(c) if c in bad else F.col(c) for c in rows.columns])
+    return clean, d.select(key, F.explode("__dropped").alias("part"))
+
+
+def json_sidecar(texts: DataFrame, column: str, schema: str) -> DataFrame:
+    """The object in each text; what isn't one, or can't be read, is an empty object."""
+    return texts.withColumn("value", F.coalesce(F.from_json(column, schema, {"mode": "PERMISSIVE"}), F.from_json(F.lit("{}"), schema)))
+
+
+def write_table(rows: DataFrame, path: str, order: list[str]) -> DataFrame:
+    """rows, ordered at the sink alone, in place of the table at path; a reader sees the old files or the new ones.
+
+    The file-commit protocol writes beside the table and moves when all tasks are done; the result is read back.
+    """
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 _COMMENT = re.compile(r'("(?:[^"\\]|\\.)*"|\'(?:[^\'\\]|\\.)*\')|//[^\n]*|/\*.*?\*/', re.S)

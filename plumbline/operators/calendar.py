@@ -33,19 +33,27 @@ def published_through(daily: DataFrame, keys: list[str]) -> DataFrame:
     """The end of each programme: the day before the first one under a floor.
 
     The floor is a fifth of the median of the non-empty days among the first
-    seven, one at least.  A thin first day passes if the second one does.
+    seven, one at least.  A first day that was read and is thin passes if the second one does;
+    a failed read ends the programme before it, also on the first day.
     daily: keys, date (consecutive), n (null for a failed read).
     """
     w = W.partitionBy(*keys).orderBy("date")
     d = daily.withColumn("i", F.row_number().over(w))
     base = d.filter("i <= 7 and n > 0").groupBy(*keys).agg(F.median("n").alias("median"))
     d = d.join(base, keys, "left").withColumn("ok", F.coalesce(F.col("n") >= F.greatest(F.lit(1.0), F.col("median") * 0.2), F.lit(False)))
-    d = d.withColumn("ok", F.col("ok") | ((F.col("i") == 1) & F.coalesce(F.lead("ok").over(w), F.lit(False))))
+    d = d.withColumn("ok", F.col("ok") | ((F.col("i") == 1) & F.col("n").isNotNull() & F.coalesce(F.lead("ok").over(w), F.lit(False))))
     bad = d.groupBy(*keys).agg(F.min(F.when(~F.col("ok"), F.col("date"))).alias("bad"), F.max("date").alias("last"), F.min("date").alias("first"))
     end = F.when(F.col("bad").isNull(), F.col("last")).when(F.col("bad") > F.col("first"), F.date_sub("bad", 1))
     return bad.select(*keys, end.alias("through"))
 
 
+def spread_through(days: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, month, spread: whether a month has rows in each of its first four weeks and in its last seven days."""
+    month = days.withColumn("month", F.trunc("date", "month"))
+    weeks = F.count_distinct(F.when(F.dayofmonth("date") <= 28, F.floor((F.dayofmonth("date") - 1) / 7))) == 4
+    return month.groupBy(*keys, "month").agg((weeks & (F.max("date") > F.date_sub(F.last_day("month"), 7))).alias("spread"))
+
+
 def month_complete(days: DataFrame, keys: list[str], least_days: int = 14, least: float = 0.6, least_spread: float = 0.4) -> DataFrame:
     """Whether each month is as dense as the 28 days before it; days: keys, date, n.
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from plumbline.operators.scan import running
+
 BUCKET = 32
 
 
@@ -17,29 +19,95 @@ def same_event_pairs(events: DataFrame, generic: list[str], shared: int = 6) ->
     """
     words = F.array_distinct(F.filter("words", lambda w: ~w.isin(*generic) & (F.length(w) >= 2) & ~F.rlike(w, F.lit("^[0-9]+"))))
     e = events.select("id", words.alias("words"), "first", "last").filter(F.size("words") > 0)
-    far = e.withColumn("bucket", F.explode(F.sequence(F.floor(F.unix_date("first") / BUCKET), F.floor(F.unix_date("last") / BUCKET)))).withColumn("word", F.explode("words"))
-    d = far.alias("x").join(far.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.word") == F.col("y.word")) & (F.col("x.id") < F.col("y.id")))
-    d = d.filter((F.col("x.first") <= F.col("y.last")) & (F.col("y.first") <= F.col("x.last")))
-    held = (F.size(F.array_except("x.words", "y.words")) == 0) | (F.size(F.array_except("y.words", "x.words")) == 0)
-    long_word = F.exists(F.array_intersect("x.words", "y.words"), lambda w: F.length(w) >= shared)
-    return d.filter(held | long_word).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    # a word of one event's words that the fewest events have: all its words are in the other only if this one is
+    seen = e.select("id", F.explode("words").alias("word"))
+    rare = seen.join(seen.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word").groupBy("id").agg(F.min(F.struct("n", "word"))["word"].alias("rare"))
+    e = e.join(rare, "id").withColumn("bucket", F.explode(F.sequence(F.floor(F.unix_date("first") / BUCKET), F.floor(F.unix_date("last") / BUCKET))))
+    far = e.withColumn("word", F.explode("words"))
+    overlap = (F.col("x.first") <= F.col("y.last")) & (F.col("y.first") <= F.col("x.last"))
+    long = far.filter(F.length("word") >= shared)
+    d = long.alias("x").join(long.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.word") == F.col("y.word")) & (F.col("x.id") < F.col("y.id"))).filter(overlap).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    held = e.alias("x").join(far.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rare") == F.col("y.word")) & (F.col("x.id") != F.col("y.id"))).filter(overlap & (F.size(F.array_except("x.words", "y.words")) == 0))
+    return d.unionByName(held.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))).distinct()
+
+
+def festival_overlay(rows: DataFrame, own: DataFrame, last: DataFrame, fresh: DataFrame, prelim: DataFrame, sticky: DataFrame, kept_venues: list, festival_venues: list, cover: list[tuple[str, str]], floor: str, end: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(slots, preliminary cells, log: festival, slot, kind) after the festivals' own programmes.
+
+    rows, own: slots (venue, item, date, time).  last, fresh: festival and slots, of festivals read
+    this run.  prelim: venue, prelim_from.  sticky: cells marked preliminary last run.  A kept venue keeps its
+    last rows, unless the festival files the screening elsewhere now.
+    """
+    slot, cell = ["venue", "item", "date", "time"], ["venue", "item", "date"]
+    lo, hi = F.lit(floor).cast("date"), F.lit(end).cast("date")
+    now = fresh.select("festival", *slot).distinct()
+    elsewhere = last.alias("l").join(now.alias("n"), (F.col("l.festival") == F.col("n.festival")) & (F.col("l.item") == F.col("n.item")) & (F.col("l.date") == F.col("n.date")) & (F.col("l.time") == F.col("n.time")) & (F.col("l.venue") != F.col("n.venue")), "left_semi").select("festival", *slot)
+    gone = last.filter(~F.col("venue").isin(*kept_venues)).select("festival", *slot).unionByName(elsewhere).select(*slot).join(own.select(*slot), slot, "left_anti")
+    on_cover = F.lit(False)
+    for a, b in cover:
+        on_cover = on_cover | F.col("date").between(F.lit(a).cast("date"), F.lit(b).cast("date"))
+    theirs = F.col("venue").isin(*festival_venues)
+    kept = rows.select(*slot).distinct().join(gone.distinct(), slot, "left_anti").filter(~(theirs & on_cover))
+    new = now.filter(F.col("date").between(lo, hi))
+    new = new.join(own.select(*slot, F.lit(1).alias("same")).distinct(), slot, "left").join(own.select(*cell, F.lit(1).alias("day")).distinct(), cell, "left").join(prelim, "venue", "left")
+    at = own.select("venue", "date", "time", F.col("item").alias("other")).distinct()
+    kind = F.when(theirs, "confirmed").when(F.col("same") == 1, "listed").when(F.col("day") == 1, "contradicted").when(F.col("date") < F.coalesce("prelim_from", lo), "prelim_row").otherwise("prelim_date")
+    new = new.withColumn("kind", kind)
+    clash = new.filter(F.col("kind").isin("prelim_row", "prelim_date")).join(at, ["venue", "date", "time"]).filter("other <> item").select("festival", *slot, F.lit("clash").alias("kind")).distinct()
+    added = new.filter(~F.col("kind").isin("listed", "contradicted")).select(*slot).distinct()
+    out = kept.unionByName(added).distinct()
+    marked = new.filter("kind = 'prelim_row'").select(*cell)
+    still = sticky.select(*cell).join(out.select(*cell).distinct(), cell, "left_semi").join(own.select(*cell), cell, "left_anti").join(prelim, "venue").filter(~theirs & (F.col("date") < F.col("prelim_from")) & F.col("date").between(lo, hi))
+    return out, marked.unionByName(still.select(*cell)).distinct(), new.select("festival", *slot, "kind").unionByName(clash)
+
+
+def festival_rows(log: DataFrame, shown: DataFrame, screens: DataFrame, venues: list) -> DataFrame:
+    """Slots of festival screenings at venues, with festival and url: those that stand as they are, and contradicted ones where the venue shows the item exactly once that day.
+
+    screens: slots with url.
+    """
+    slot, cell = ["venue", "item", "date", "time"], ["venue", "item", "date"]
+    own = log.filter(F.col("venue").isin(*venues))
+    url = screens.groupBy(*slot).agg(F.max("url").alias("url"))
+    stand = own.filter(F.col("kind").isin("confirmed", "prelim_row", "prelim_date", "listed")).join(shown.select(*slot).distinct(), slot).groupBy(*slot).agg(F.min("festival").alias("festival")).join(url, slot, "left")
+    once = shown.select(*slot).distinct().groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.min("time").alias("there")).filter("n = 1")
+    other = own.filter("kind = 'contradicted'").join(url, slot, "left").join(once, cell).select(*cell, F.col("there").alias("time"), "festival", "url").join(stand.select(*slot), slot, "left_anti")
+    other = other.groupBy(*slot).agg(F.min(F.struct("festival", "url")).alias("x")).select(*slot, "x.festival", "x.url")
+    return stand.select(*slot, "festival", "url").unionByName(other)
+
+
+def festival_marks(log: DataFrame, shown: DataFrame) -> DataFrame:
+    """festival, items: the items of its own programme among the rows shown."""
+    slot = ["venue", "item", "date", "time"]
+    d = log.filter(F.col("kind").isin("confirmed", "prelim_row", "prelim_date", "listed")).join(shown.select(*slot).distinct(), slot, "left_semi")
+    return d.groupBy("festival").agg(F.array_join(F.array_sort(F.collect_set("item")), ",").alias("items"))
 
 
-def festival_merge(rows: DataFrame, own: DataFrame, last: DataFrame, fresh: DataFrame, only: DataFrame, cover: DataFrame) -> DataFrame:
-    """Cells after a festival overlay, slots (venue, item, date, time) in, with source.
+def seller_times(rows: DataFrame, shown: DataFrame, most: int = 90) -> DataFrame:
+    """venue, item, date, time, seller, moved: a seller's start replaces the venue's on the same day within most minutes, if no other row has it.
 
-    Last run's festival slots go unless the venue lists them itself; at venues
-    that have festivals only, every slot on a covered day goes; then this run's
-    festival slots come, but not where the venue lists the item that day at other times.
+    rows: one a slot, with seller (may be null).  Rows of one cell are taken in order of their time: a slot that a
+    row moved to is taken for the next ones, and one it left is free.  Cells are small, and each is folded on its own.
     """
-    slot, cell = ["venue", "item", "date", "time"], ["venue", "item", "date"]
-    gone = last.select(*slot).join(own.select(*slot), slot, "left_anti")
-    kept = rows.select(*slot).distinct().join(gone, slot, "left_anti")
-    covered = only.join(cover, how="inner").select("venue", F.explode(F.sequence("first", "last")).alias("date")).distinct()
-    kept = kept.join(covered, ["venue", "date"], "left_anti")
-    listed = own.select(*cell).distinct().join(covered, ["venue", "date"], "left_anti")
-    new = fresh.select(*slot).distinct().join(listed, cell, "left_anti").join(kept, slot, "left_anti")
-    return kept.withColumn("source", F.lit("venue")).unionByName(new.withColumn("source", F.lit("festival")))
+    minute = lambda c: F.substring(c, 1, 2).cast("int") * 60 + F.substring(c, 4, 2).cast("int")
+    cell = ["venue", "item", "date"]
+    d = rows.select(*cell, "time", "seller").withColumn("gap", F.abs(minute(F.col("seller")) - minute(F.col("time"))))
+    g = d.groupBy(*cell).agg(F.array_sort(F.collect_list(F.struct("time", "seller", "gap"))).alias("r"))
+    start = F.struct(F.transform("r", lambda x: x["time"]).alias("taken"), F.expr("cast(array() as array<struct<time:string,seller:string,moved:boolean>>)").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        moves = F.coalesce((x["seller"] != x["time"]) & (x["gap"] <= most) & ~F.array_contains(acc["taken"], x["seller"]), F.lit(False))
+        taken = F.when(moves, F.concat(F.array_remove(acc["taken"], x["time"]), F.array(x["seller"]))).otherwise(acc["taken"])
+        return F.struct(taken.alias("taken"), F.concat(acc["out"], F.array(F.struct(F.when(moves, x["seller"]).otherwise(x["time"]).alias("time"), x["seller"].alias("seller"), moves.alias("moved")))).alias("out"))
+
+    return g.select(*cell, F.explode(F.aggregate("r", start, step, lambda a: a["out"])).alias("x")).select(*cell, "x.time", "x.seller", "x.moved")
+
+
+def place_moves(rows: DataFrame, venues: list, own: DataFrame) -> DataFrame:
+    """Slots and outcome by the venue a seller names (place): moved, kept (the venue lists it itself) or outside."""
+    slot = ["venue", "item", "date", "time"]
+    d = rows.filter(F.col("place").isNotNull() & (F.col("place") != F.col("venue"))).join(own.select(*slot, F.lit(1).alias("own")).distinct(), slot, "left")
+    return d.select(*slot, "place", F.when(~F.col("place").isin(*venues), "outside").when(F.col("own") == 1, "kept").otherwise("moved").alias("outcome"))
 
 
 def venue_outcome(kept: DataFrame, fresh: DataFrame, policy: DataFrame) -> DataFrame:
@@ -51,9 +119,9 @@ def venue_outcome(kept: DataFrame, fresh: DataFrame, policy: DataFrame) -> DataF
 
 
 def trending(results: DataFrame, order: list[str], key: str) -> DataFrame:
-    """Ranks from 1 by first appearance: order is ranked once a key, over few result pages."""
+    """Ranks from 1 by first appearance."""
     first = results.groupBy(key).agg(F.min(F.struct(*order)).alias("at"))
-    return first.select(key, F.row_number().over(W.orderBy("at")).cast("long").alias("rank"))
+    return running(first, [], [F.col("at")]).select(key, "rank")
 
 
 def keep_trend(current: DataFrame, previous: DataFrame, ranks: DataFrame | None, key: str, external: str) -> DataFrame:

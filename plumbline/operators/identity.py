@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -38,8 +40,8 @@ def candidates(titles: DataFrame, catalogue: DataFrame) -> DataFrame:
 
     titles: title_id, title, year.  catalogue: id, title, year, minted.  An unknown year never vetoes.
     """
-    t = titles.select("title_id", text.key(F.col("title")).alias("key"), text.base_key(F.col("title")).alias("base"), F.col("year").alias("ty"))
-    c = catalogue.select("id", text.key(F.col("title")).alias("key"), text.base_key(F.col("title")).alias("base"))
+    t = text.with_keys(titles, "title").select("title_id", "key", "base", F.col("year").alias("ty"))
+    c = text.with_keys(catalogue, "title").select("id", "key", "base")
     exact = t.join(c, "key").select("title_id", "id", F.lit(1).alias("rule"))
     sub = t.select("title_id", F.col("base").alias("key")).join(c.select("id", "key"), "key").unionByName(t.select("title_id", "key").join(c.select("id", F.col("base").alias("key")), "key"))
     spelt = one_edit(t.select("title_id", "key"), c.select("id", "key"), "title_id", "id").withColumn("rule", F.lit(3))
@@ -97,9 +99,10 @@ def duplicate_edges(records: DataFrame) -> DataFrame:
 
 
 def survivors(members: DataFrame, component: str, order: list[Column]) -> DataFrame:
-    """Members with the one that stays of their component."""
-    w = W.partitionBy(component).orderBy(*order)
-    return members.withColumn("into", F.first("id").over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).filter("id <> into")
+    """Members with the one that stays of their component: the least by order, found by a partial aggregate."""
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    best = members.groupBy(component).agg(F.min_by("id", key).alias("into"))
+    return members.join(best, component).filter("id <> into")
 
 
 def score(title: Column, query: Column, year: Column, wanted: Column, votes: Column) -> Column:
@@ -122,3 +125,105 @@ def matching_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[p
     """Share of both texts in matching blocks."""
     for a, b in batches:
         yield pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
+
+
+def alike_names(rows: DataFrame, block: str, name: str, least: float) -> DataFrame:
+    """block, x, y, ratio: different and equal names of a block that are alike; every two names are compared once, however many rows and blocks have them."""
+    n = rows.select(block, name).distinct()
+    both = n.withColumnRenamed(name, "x").join(n.withColumnRenamed(name, "y"), block)
+    scored = both.select("x", "y").distinct().withColumn("ratio", matching_ratio("x", "y")).filter(F.col("ratio") >= least)
+    return both.join(scored, ["x", "y"])
+
+
+_SOUNDS = (("dzh", "j"), ("zh", "j"), ("dj", "j"), ("kh", "h"), ("ph", "f"), ("th", "t"), ("ck", "k"), ("w", "v"), ("y", "i"), ("q", "k"), ("x", "ks"))
+
+
+def sound_tokens(line: str | None) -> list[str]:
+    """The words of a credit line as rough Latin sounds, of three letters and more."""
+    s = (line or "").lower().replace("ё", "е")
+    s = unicodedata.normalize("NFKD", "".join(text.LETTERS.get(ch, ch) for ch in s))
+    s = "".join(ch for ch in s if not unicodedata.combining(ch))
+    for a, b in _SOUNDS:
+        s = s.replace(a, b)
+    s = re.sub(r"(.)\1+", r"\1", re.sub(r"c(?!h)", "k", s))
+    return [t for t in re.split("[^a-z]+", s) if len(t) >= 3]
+
+
+def alike_sounds(a: str, b: str, ratio: float = 0.72, bare: float = 0.8) -> bool:
+    """Two sound words: equal, alike, or alike in their consonants."""
+    if a == b or SequenceMatcher(None, a, b).ratio() >= ratio:
+        return True
+    x, y = (re.sub("[aeiou]", "", t) for t in (a, b))
+    return min(len(x), len(y)) >= 3 and SequenceMatcher(None, x, y).ratio() >= bare
+
+
+@F.pandas_udf(T.BooleanType())
+def names_agree(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Whether a name of one credit line is one of the other's, in either script; null if either has none."""
+    for a, b in batches:
+        out = []
+        for x, y in zip(map(sound_tokens, a), map(sound_tokens, b), strict=True):
+            out.append(any(alike_sounds(p, q) for p in x for q in y) if x and y else None)
+        yield pd.Series(out, dtype=object)
+
+
+@F.pandas_udf(T.BooleanType())
+def titles_agree(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Whether two Latin titles are one: equal or one in the other once folded, or nearly the same spelling."""
+    for a, b in batches:
+        out = []
+        for x, y in zip(a, b, strict=True):
+            p, q = (re.sub("[^a-z0-9]", "", (v or "").lower()) for v in (x, y))
+            near = bool(p and q) and (p == q or (min(len(p), len(q)) >= 4 and (p in q or q in p)) or SequenceMatcher(None, p, q).ratio() >= 0.85)
+            out.append(near)
+        yield pd.Series(out, dtype=object)
+
+
+def plausible_year(year: Column, other: Column, rerelease: Column, most: int = 5) -> Column:
+    """Whether two years may be one film's: most apart at most, or the other older where the title is marked as a new edition; unknown ones may."""
+    near = F.coalesce(F.abs(year - other) <= most, F.lit(True))
+    return near | (F.coalesce(rerelease, F.lit(False)) & F.coalesce(other <= year, F.lit(False)))
+
+
+def local_pick(results: DataFrame) -> DataFrame:
+    """qid, id: of search results for a Bulgarian title the best of 60 points or more.
+
+    results: qid, q, year, id, title, original, ry, votes.  Equal titles give 100, one in the other 60 if
+    it is most of it and more than a word, or the year confirms it; the year 20, votes up to 1.
+    An older namesake of a result that is far older than the title's year leaves both out.
+    """
+    q, t, o = (text.latin_norm(F.col(c), cyrillic=True) for c in ("q", "title", "original"))
+    d = results.withColumns({"nq": q, "nt": t, "no": o}).filter("nq <> ''")
+    same = (F.col("nq") == F.col("nt")) | (F.col("nq") == F.col("no"))
+    inside = (F.length("nq") >= 6) & (F.contains("nt", "nq") | ((F.col("nt") != "") & F.contains("nq", "nt")))
+    short, long = F.least(F.length("nq"), F.length("nt")), F.greatest(F.length("nq"), F.length("nt"))
+    weak = (F.size(F.split(F.trim("q"), r"\s+")) < 2) | (short < 0.5 * long)
+    confirmed = F.coalesce(F.abs(F.col("ry") - F.col("year")) <= 1, F.lit(False))
+    base = F.when(same, 100.0).when(inside & (~weak | confirmed), 60.0)
+    points = base + F.when(F.coalesce(F.col("ry") == F.col("year"), F.lit(False)), 20.0).otherwise(0.0) + F.least(F.coalesce("votes", F.lit(0)), F.lit(5000)) / 5000.0
+    d = d.withColumn("points", points).withColumn("namesake", same & (F.coalesce("ry", F.col("year") + 1) <= F.col("year")))
+    g = d.groupBy("qid").agg(F.max(F.when(F.col("points") >= 60, F.struct("points", (-F.col("id")).alias("i"), "ry", "year", "namesake"))).alias("x"), F.count_if("namesake").alias("old"))
+    far = ~F.coalesce(F.abs(F.col("x.ry") - F.col("x.year")) <= 5, F.lit(True))
+    twin = far & (F.col("old") - F.col("x.namesake").cast("int") > 0)
+    return g.filter(F.col("x").isNotNull() & ~twin).select("qid", (-F.col("x.i")).alias("id"))
+
+
+def sole_match(queries: DataFrame, entries: DataFrame, keys: list[str], fits: Column) -> DataFrame:
+    """qid, id: the entry with equal keys that fits, if exactly one does (lookups by director, runtime or printed id)."""
+    d = queries.join(entries, keys).filter(F.coalesce(fits, F.lit(False))).select("qid", "id").distinct()
+    return d.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).filter("n = 1").select("qid", "id")
+
+
+def title_matcher(titles: DataFrame, index: DataFrame) -> DataFrame:
+    """title_id, id: the index entry with the title's key, else the only one whose words begin with the title's or the reverse."""
+    same = titles.join(index, "key").groupBy("title_id").agg(F.min("id").alias("id"))
+    rest = titles.join(same.select("title_id"), "title_id", "left_anti")
+
+    def heads(d: DataFrame, name: str) -> DataFrame:
+        w = F.split("key", " ")
+        return d.select(name, F.explode(F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(w))), lambda k: F.array_join(F.slice(w, F.lit(1), k), " "))).alias("head")).distinct()
+
+    a = heads(rest, "title_id").join(index.select("id", F.col("key").alias("head")), "head").select("title_id", "id")
+    b = rest.select("title_id", F.col("key").alias("head")).join(heads(index, "id"), "head").select("title_id", "id")
+    one = a.unionByName(b).distinct().groupBy("title_id").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).filter("n = 1").select("title_id", "id")
+    return same.unionByName(one)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: tuple[str, ...] = ("listings", "checks", "titles", "programme")
+MODULES: tuple[str, ...] = ("listings", "checks", "titles", "programme", "texts", "resolution", "stages", "linked", "remembered", "served")
 
 
 def load() -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import coverage, quality, state
+from plumbline.operators import coverage, quality, scan, state
 from plumbline.registry import query
 from plumbline.session import table
 
@@ -15,7 +15,8 @@ def _cell(spark, sf, keep: str):
 
 
 _CELL = "(SELECT l_suppkey % 50 AS venue, l_partkey % 20 AS item, max(l_linenumber) AS value FROM lineitem WHERE {} GROUP BY 1, 2)"
-_OLD, _NEW = "l_orderkey % 8 = 0", "l_orderkey % 9 = 0 and l_suppkey % 7 <> 3"
+# two snapshots: what was shipped by two days
+_OLD, _NEW = "l_shipdate < '1998-06-01'", "l_shipdate < '1998-09-01' and not (l_suppkey % 7 = 3 and l_partkey % 3 = 1)"
 
 
 @query("snapshot_diff", f"""WITH a AS {_CELL.format(_OLD)}, b AS {_CELL.format(_NEW)}, r AS (SELECT DISTINCT venue FROM b WHERE venue % 4 <> 1),
@@ -142,10 +143,10 @@ def topn_per_group(spark, sf):
     return state.top_n(d, "l_suppkey", [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber", "l_partkey"], 3).drop("l_partkey")
 
 
-@query("due_schedule", """WITH s AS (SELECT user_id, max(ts)::DATE AS checked, bool_and(event_type <> 'error') AS ok, max(event_type) AS url, min(event_type) AS checked_url FROM events WHERE event_id % 9 = user_id % 9 GROUP BY 1)
+@query("due_schedule", """WITH s AS (SELECT user_id, max(ts)::DATE AS checked, bool_and(event_type <> 'error') AS ok, max(event_type) AS url, min(event_type) AS checked_url FROM (SELECT ts, event_type, event_id // 4 AS user_id FROM events) GROUP BY 1)
 SELECT * FROM (SELECT user_id, CASE WHEN checked IS NULL THEN 'never' WHEN url IS DISTINCT FROM checked_url THEN 'changed' WHEN ok AND DATE '2024-02-01' - checked >= 7 THEN 'recheck' WHEN NOT ok AND DATE '2024-02-01' - checked >= 3 THEN 'retry' END AS reason FROM s) WHERE reason IS NOT NULL""")
 def due_schedule(spark, sf):
-    s = table(spark, sf, "events").filter("event_id % 9 = user_id % 9").groupBy("user_id").agg(F.max("ts").cast("date").alias("checked"), F.bool_and(F.col("event_type") != "error").alias("ok"), F.max("event_type").alias("url"), F.min("event_type").alias("checked_url"))
+    s = table(spark, sf, "events").groupBy(F.expr("event_id div 4").alias("user_id")).agg(F.max("ts").cast("date").alias("checked"), F.bool_and(F.col("event_type") != "error").alias("ok"), F.max("event_type").alias("url"), F.min("event_type").alias("checked_url"))
     return state.due(s, "2024-02-01", 7, 3).select("user_id", "reason")
 
 
@@ -156,9 +157,12 @@ def hash_cache_missing(spark, sf):
     return state.missing_from_cache(d, cache, "text").select("key", F.length("text").alias("n"))
 
 
-@query("batch_next_fit")
+@query("batch_next_fit", """WITH RECURSIVE d AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
+r AS (SELECT source, doc_id, n_chars, i, 0::BIGINT AS batch, 1 AS held, n_chars AS total FROM d WHERE i = 1
+UNION ALL SELECT d.source, d.doc_id, d.n_chars, d.i, CASE WHEN held = 8 OR total + d.n_chars > 20000 THEN batch + 1 ELSE batch END, CASE WHEN held = 8 OR total + d.n_chars > 20000 THEN 1 ELSE held + 1 END, CASE WHEN held = 8 OR total + d.n_chars > 20000 THEN d.n_chars ELSE total + d.n_chars END FROM r JOIN d ON d.source = r.source AND d.i = r.i + 1)
+SELECT source, doc_id, n_chars, batch FROM r""")
 def batch_next_fit(spark, sf):
-    return state.next_fit(table(spark, sf, "documents"), "source", "doc_id", "n_chars", 8, 20_000)
+    return scan.next_fit(table(spark, sf, "documents"), "source", "doc_id", "n_chars", 8, 20_000)
 
 
 @query("leader_cluster")
@@ -167,23 +171,16 @@ def leader_cluster(spark, sf):
     return state.leader_clusters(d, "grp", "user_id", "tokens", 4)
 
 
-@query("override_precedence", """SELECT doc_id, coalesce(CASE WHEN length(trim(a)) >= 40 THEN trim(a) END, CASE WHEN length(trim(b)) >= 20 THEN trim(b) END, CASE WHEN length(trim(c)) >= 1 THEN trim(c) END) AS chosen FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN substr(text, 1, 60) END AS a, CASE WHEN doc_id % 2 = 0 THEN substr(text, 1, 30) END AS b, source AS c FROM documents)""")
+@query("override_precedence", """SELECT doc_id, coalesce(CASE WHEN length(trim(a)) >= 400 THEN trim(a) END, CASE WHEN length(trim(b)) >= 2 THEN trim(b) END, CASE WHEN length(trim(c)) >= 1 THEN trim(c) END) AS chosen FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text END AS a, CASE WHEN doc_id % 2 = 0 THEN lang END AS b, source AS c FROM documents)""")
 def override_precedence(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.substring("text", 1, 60)).alias("a"), F.when(F.col("doc_id") % 2 == 0, F.substring("text", 1, 30)).alias("b"), F.col("source").alias("c"))
-    return d.select("doc_id", state.override([("a", 40), ("b", 20), ("c", 1)]).alias("chosen"))
+    d = table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("text")).alias("a"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("b"), F.col("source").alias("c"))
+    return d.select("doc_id", state.override([("a", 400), ("b", 2), ("c", 1)]).alias("chosen"))
 
 
-@query("decide_state", """SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN CASE WHEN event_id % 4 > 0 THEN 'deploy' ELSE 'skip: newer commit' END WHEN event_type = 'signup' THEN 'skip: cancelled' WHEN user_id % 5 >= 3 THEN 'give up' WHEN value * 10 > 720 THEN 'skip: stale' ELSE 'retry' END AS decision FROM events""")
-def decide_state(spark, sf):
-    kind = F.when(F.col("event_type").isin("view", "click"), "success").when(F.col("event_type") == "signup", "cancelled").otherwise("failure")
-    d = table(spark, sf, "events").select("event_id", kind.alias("conclusion"), (F.col("user_id") % 5).alias("attempt"), (F.col("event_id") % 4 > 0).alias("same_commit"), (F.col("value") * 10).alias("age_minutes"))
-    return d.select("event_id", state.decide_deploy().alias("decision"))
-
-
-@query("settle_counters", """WITH p AS (SELECT user_id, user_id % 3 AS misses, '2024-01-01' AS last_ok FROM events WHERE user_id % 2 = 0 GROUP BY 1), o AS (SELECT user_id, max(event_type) <> 'view' AS ok, CAST(max(ts)::DATE AS VARCHAR) AS seen FROM events WHERE user_id % 5 > 0 AND event_id % 7 = 0 GROUP BY 1)
+@query("settle_counters", """WITH p AS (SELECT user_id, user_id % 3 AS misses, '2024-01-01' AS last_ok FROM events WHERE user_id % 2 = 0 GROUP BY 1), o AS (SELECT user_id, max(event_type) <> 'view' AS ok, CAST(max(ts)::DATE AS VARCHAR) AS seen FROM events WHERE user_id % 5 > 0 GROUP BY 1)
 SELECT coalesce(p.user_id, o.user_id) AS user_id, CASE WHEN ok THEN 0 WHEN NOT ok THEN coalesce(misses, 0) + 1 ELSE misses END AS misses, CASE WHEN ok THEN seen ELSE last_ok END AS last_ok FROM p FULL JOIN o ON p.user_id = o.user_id""")
 def settle_counters(spark, sf):
     e = table(spark, sf, "events")
     p = e.filter("user_id % 2 = 0").select("user_id", (F.col("user_id") % 3).alias("misses"), F.lit("2024-01-01").alias("last_ok")).distinct()
-    o = e.filter("user_id % 5 > 0 and event_id % 7 = 0").groupBy("user_id").agg((F.max("event_type") != "view").alias("ok"), F.max("ts").cast("date").cast("string").alias("at"))
+    o = e.filter("user_id % 5 > 0").groupBy("user_id").agg((F.max("event_type") != "view").alias("ok"), F.max("ts").cast("date").cast("string").alias("at"))
     return state.settle(p, o, "user_id")

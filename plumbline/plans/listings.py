@@ -60,9 +60,9 @@ def window_cells(spark, sf):
 
 
 @query("calendar_fill", """WITH days AS (SELECT CAST(d AS DATE) AS date FROM generate_series(TIMESTAMP '1998-06-01', TIMESTAMP '1998-08-06', INTERVAL 1 DAY) t(d))
-SELECT CAST(date AS VARCHAR) AS date, count(o_orderkey) AS n FROM days LEFT JOIN (SELECT * FROM orders WHERE o_custkey % 10 = 0) o ON CAST(o_orderdate AS DATE) = date GROUP BY 1""")
+SELECT CAST(date AS VARCHAR) AS date, count(o_orderkey) AS n FROM days LEFT JOIN orders o ON CAST(o_orderdate AS DATE) = date GROUP BY 1""")
 def calendar_fill(spark, sf):
-    rows = table(spark, sf, "orders").filter("o_custkey % 10 = 0").select(F.col("o_orderdate").cast("date").alias("date"))
+    rows = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
     return _dated(calendar.dense_counts(rows, calendar.window_days(spark, FLOOR)))
 
 
@@ -205,17 +205,17 @@ def nearest_slot_90(spark, sf):
     return merge.nearest_within(a.withColumnRenamed("event_id", "left_id"), b.withColumnRenamed("event_id", "right_id"), ["user_id"], "minute", 90, "left_id", "right_id")
 
 
-@query("unique_link_assignment", """WITH d AS (SELECT DISTINCT user_id AS key, json_extract_string(props, '$.k') || '-' || event_type AS url FROM events WHERE event_id % 97 = 0)
+@query("unique_link_assignment", """WITH d AS (SELECT DISTINCT event_id // 3 AS key, (event_id // 2)::VARCHAR || '-' || event_type AS url FROM events)
 SELECT key, url FROM (SELECT *, count(*) OVER (PARTITION BY key) AS a, count(*) OVER (PARTITION BY url) AS b FROM d) WHERE a = 1 AND b = 1""")
 def unique_link_assignment(spark, sf):
-    d = table(spark, sf, "events").filter("event_id % 97 = 0").select(F.col("user_id").alias("key"), F.concat_ws("-", F.get_json_object("props", "$.k"), "event_type").alias("url"))
+    d = table(spark, sf, "events").select(F.expr("event_id div 3").alias("key"), F.concat_ws("-", F.expr("cast(event_id div 2 as string)"), "event_type").alias("url"))
     return merge.unique_links(d, "key", "url")
 
 
-@query("misplaced_links", """WITH l AS (SELECT DISTINCT user_id % 10 AS venue, json_extract_string(props, '$.k') || event_type AS url FROM events WHERE event_id % 11 = 0)
+@query("misplaced_links", """WITH l AS (SELECT DISTINCT user_id % 10 AS venue, json_extract_string(props, '$.k') || event_type || (event_id // 200) AS url FROM events)
 SELECT venue, l.url, venues FROM l JOIN (SELECT url, count(DISTINCT venue) AS venues FROM l GROUP BY 1 HAVING count(DISTINCT venue) > 1) m ON l.url = m.url""")
 def misplaced_links(spark, sf):
-    d = table(spark, sf, "events").filter("event_id % 11 = 0").select((F.col("user_id") % 10).alias("venue"), F.concat(F.get_json_object("props", "$.k"), "event_type").alias("url"))
+    d = table(spark, sf, "events").select((F.col("user_id") % 10).alias("venue"), F.concat(F.get_json_object("props", "$.k"), "event_type", F.expr("cast(event_id div 200 as string)")).alias("url"))
     return merge.misplaced_links(d.distinct())
 
 
@@ -272,17 +272,20 @@ def islands_decode(spark, sf):
     return _dated(calendar.days_of(calendar.islands(_days(spark, sf), ["k"]).filter("days >= 2"), ["k"]))
 
 
-@query("published_through", f"""WITH days AS (SELECT CAST(d AS DATE) AS date FROM generate_series(TIMESTAMP '1998-06-01', TIMESTAMP '1998-08-06', INTERVAL 1 DAY) t(d)), ks AS (SELECT DISTINCT o_custkey % 3 AS k FROM orders),
-c AS (SELECT o_custkey % 3 AS k, CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders GROUP BY ALL), d AS (SELECT ks.k, days.date, coalesce(n, 0) AS n, row_number() OVER (PARTITION BY ks.k ORDER BY days.date) AS i FROM ks CROSS JOIN days LEFT JOIN c ON c.k = ks.k AND c.date = days.date),
+@query("published_through", f"""WITH days AS (SELECT CAST(d AS DATE) AS date FROM generate_series(TIMESTAMP '1998-06-01', TIMESTAMP '1998-08-06', INTERVAL 1 DAY) t(d)), ks AS (SELECT DISTINCT o_custkey % 30 AS k FROM orders),
+c AS (SELECT o_custkey % 30 AS k, CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders GROUP BY ALL), d AS (SELECT ks.k, days.date, CASE WHEN (ks.k = 4 AND days.date = DATE '1998-06-01') OR (ks.k % 5 = 2 AND days.date = DATE '1998-06-20') THEN NULL ELSE 8 + coalesce(n, 0) - CASE WHEN ks.k % 3 = 1 AND days.date IN (DATE '1998-06-01', DATE '1998-07-04') THEN 8 ELSE 0 END END AS n, row_number() OVER (PARTITION BY ks.k ORDER BY days.date) AS i FROM ks CROSS JOIN days LEFT JOIN c ON c.k = ks.k AND c.date = days.date),
 m AS (SELECT k, median(n) AS med FROM d WHERE i <= 7 AND n > 0 GROUP BY k), o AS (SELECT d.*, coalesce(n >= greatest(1.0, med * 0.2), false) AS ok FROM d LEFT JOIN m USING (k)),
-o2 AS (SELECT *, ok OR (i = 1 AND coalesce(lead(ok) OVER (PARTITION BY k ORDER BY date), false)) AS ok2 FROM o), b AS (SELECT k, min(CASE WHEN NOT ok2 THEN date END) AS bad, max(date) AS last, min(date) AS first FROM o2 GROUP BY k)
+o2 AS (SELECT *, ok OR (i = 1 AND n IS NOT NULL AND coalesce(lead(ok) OVER (PARTITION BY k ORDER BY date), false)) AS ok2 FROM o), b AS (SELECT k, min(CASE WHEN NOT ok2 THEN date END) AS bad, max(date) AS last, min(date) AS first FROM o2 GROUP BY k)
 SELECT k, CAST(CASE WHEN bad IS NULL THEN last WHEN bad > first THEN bad - 1 END AS VARCHAR) AS through FROM b""")
 def published_through(spark, sf):
-    o = table(spark, sf, "orders").select((F.col("o_custkey") % 3).alias("k"), F.col("o_orderdate").cast("date").alias("date"))
-    days = calendar.window_days(spark, FLOOR)
-    grid = o.select("k").distinct().join(days.groupBy().agg(F.collect_list("date").alias("d"))).select("k", F.explode("d").alias("date"))
-    daily = grid.join(o.groupBy("k", "date").agg(F.count(F.lit(1)).alias("n")), ["k", "date"], "left").fillna(0, ["n"])
-    return _dated(calendar.published_through(daily, ["k"]))
+    o = table(spark, sf, "orders").select((F.col("o_custkey") % 30).alias("k"), F.col("o_orderdate").cast("date").alias("date"))
+    days = F.explode(F.sequence(F.lit(FLOOR).cast("date"), F.lit(END).cast("date")))
+    daily = o.select("k").distinct().select("k", days.alias("date")).join(o.groupBy("k", "date").agg(F.count(F.lit(1)).alias("n")), ["k", "date"], "left").fillna(0, ["n"])
+    k, d = F.col("k"), F.col("date").cast("string")
+    # failed reads, on the first day too, and thin days
+    failed = ((k == 4) & (d == "1998-06-01")) | ((k % 5 == 2) & (d == "1998-06-20"))
+    thin = F.when((k % 3 == 1) & d.isin("1998-06-01", "1998-07-04"), 8).otherwise(0)
+    return _dated(calendar.published_through(daily.withColumn("n", F.when(~failed, F.col("n") + 8 - thin)), ["k"]))
 
 
 @query("month_complete", f"""WITH d AS ({_DAYS}), own AS (SELECT k, date_trunc('month', date)::DATE AS month, sum(n) / day(last_day(min(date))) AS rate, count(DISTINCT CASE WHEN day(date) <= 28 THEN (day(date) - 1) // 7 END) = 4 AS weeks, max(date) > last_day(min(date)) - 7 AS fin FROM d GROUP BY 1, 2),
@@ -303,3 +306,8 @@ def keep_policy(spark, sf):
     e = table(spark, sf, "events").withColumn("d", F.col("ts").cast("date"))
     s = e.groupBy("user_id").agg(F.max(F.when((F.col("event_type") != "error") & (F.col("user_id") % 3 > 0), F.col("d"))).alias("last_ok"), F.min(F.when(F.col("event_type") == "error", F.col("d"))).alias("failing_since"))
     return calendar.keep_policy(s, "2024-02-01").select("user_id", "age", "expired")
+
+
+@query("spread_through", f"WITH d AS ({_DAYS}) SELECT k, CAST(date_trunc('month', date)::DATE AS VARCHAR) AS month, count(DISTINCT CASE WHEN day(date) <= 28 THEN (day(date) - 1) // 7 END) = 4 AND max(date) > last_day(min(date)) - 7 AS spread FROM d GROUP BY 1, 2")
+def spread_through(spark, sf):
+    return _dated(calendar.spread_through(_days(spark, sf), ["k"]))

@@ -11,7 +11,7 @@ from plumbline.registry import query
 from plumbline.session import table
 
 _FOLD = "trim(regexp_replace(regexp_replace(regexp_replace(replace(translate(lower({0}), 'ёѝ', 'еи'), '&', CASE WHEN regexp_matches(lower({0}), '\\p{{Cyrillic}}') THEN ' и ' ELSE ' and ' END), '[''’`ʼ]', '', 'g'), '[^\\p{{L}}\\p{{N}}\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
-_YEAR = r"'\s*[\(\[|]\s*((?:18|19|20)\d{2})\s*[\)\]|]?\s*$'"
+_YEAR = r"'\s*(?:[(\[]\s*((?:18|19|20)\d{2})\s*[)\]]|\|\s*((?:18|19|20)\d{2})\s*\|?)\s*$'"
 _CLEAN = "trim(trim(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace({0}, '\\s+', ' ', 'g')), '(?i)\\b(?:imax\\s+3d|imax|4dx|3d|2d|dubbed|subtitled|dolby\\s+atmos)\\b', ' ', 'g'), '[\\(\\[][\\s,;/–—+-]*[\\)\\]]', ' ', 'g'), '\\s+', ' ', 'g')), ' -–—:,|')"
 _CORE = f"trim(regexp_replace({{0}}, {_YEAR.replace('{2}', '{{2}}')}, ''))"
 
@@ -37,15 +37,15 @@ def _noisy():
     )
 
 
-@query("title_keys", f"WITH t AS (SELECT p_partkey, {_NOISY} AS t FROM part) SELECT p_partkey, {_key('t')} AS key, {_base('t')} AS base, TRY_CAST(regexp_extract({_CLEAN.format('t')}, {_YEAR}, 1) AS INTEGER) AS year FROM t")
+@query("title_keys", f"WITH t AS (SELECT p_partkey, {_NOISY} AS t FROM part) SELECT p_partkey, {_key('t')} AS key, {_base('t')} AS base, TRY_CAST(regexp_extract({_CLEAN.format('t')}, {_YEAR}, 1) || regexp_extract({_CLEAN.format('t')}, {_YEAR}, 2) AS INTEGER) AS year FROM t")
 def title_keys(spark, sf):
     t = F.col("t")
     return table(spark, sf, "part").select("p_partkey", _noisy().alias("t")).select("p_partkey", text.key(t).alias("key"), text.base_key(t).alias("base"), text.title_year(text.clean_title(t)).alias("year"))
 
 
-@query("document_keys", f"SELECT doc_id, {_FOLD.format('substr(text, 1, 120)')} AS key FROM documents")
+@query("document_keys", f"SELECT doc_id, md5({_FOLD.format('text')}) AS key FROM documents")
 def document_keys(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.fold(F.substring("text", 1, 120)).alias("key"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(text.fold(F.col("text")).cast("binary")).alias("key"))
 
 
 _SINGLE = [k for k, v in text.LETTERS.items() if len(v) == 1]
@@ -131,18 +131,20 @@ def dup_edges(spark, sf):
     return identity.duplicate_edges(_records(spark, sf))
 
 
-_GRAPH = "SELECT DISTINCT o_orderkey % 700 AS a, o_custkey % 700 AS b FROM orders WHERE o_orderkey % 40 = 0"
+_GRAPH = "SELECT DISTINCT o_orderkey AS a, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey - o_orderkey % 5 ELSE o_custkey * 100000 END AS b FROM orders"
 
 
 @query("dup_components", f"""WITH RECURSIVE e AS (SELECT a, b FROM ({_GRAPH}) WHERE a <> b), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), n AS (SELECT DISTINCT a AS node FROM s), r AS (SELECT node, node AS reach FROM n UNION SELECT r.node, s.b FROM r JOIN s ON s.a = r.reach) SELECT node, min(reach) AS root FROM r GROUP BY 1""")
 def dup_components(spark, sf):
-    o = table(spark, sf, "orders").filter("o_orderkey % 40 = 0").select((F.col("o_orderkey") % 700).alias("a"), (F.col("o_custkey") % 700).alias("b"))
+    k = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(k.alias("a"), F.when(k % 5 > 0, k - k % 5).otherwise(F.col("o_custkey") * 100_000).alias("b"))
     return graph.components(o)
 
 
-@query("redirect_closure", """WITH RECURSIVE m AS (SELECT o_orderkey AS old, o_orderkey // 3 AS target FROM orders WHERE o_orderkey % 5 > 0 AND o_orderkey > 2), r AS (SELECT old, target FROM m UNION ALL SELECT r.old, m.target FROM r JOIN m ON m.old = r.target) SELECT old, target AS final FROM r WHERE target NOT IN (SELECT old FROM m)""")
+@query("redirect_closure", """WITH RECURSIVE m AS (SELECT o_orderkey AS old, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey // 3 ELSE -o_orderkey END AS target FROM orders WHERE o_orderkey > 2), r AS (SELECT old, target FROM m UNION ALL SELECT r.old, m.target FROM r JOIN m ON m.old = r.target) SELECT old, target AS final FROM r WHERE target NOT IN (SELECT old FROM m)""")
 def redirect_closure(spark, sf):
-    m = table(spark, sf, "orders").filter("o_orderkey % 5 > 0 and o_orderkey > 2").select(F.col("o_orderkey").alias("old"), F.expr("o_orderkey div 3").alias("into"))
+    k = F.col("o_orderkey")
+    m = table(spark, sf, "orders").filter(k > 2).select(k.alias("old"), F.when(k % 5 > 0, F.expr("o_orderkey div 3")).otherwise(-k).alias("into"))
     return graph.redirects(m)
 
 
@@ -174,8 +176,9 @@ def multi_hall(spark, sf):
 @query("name_similarity")
 def name_similarity(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
-    d = p.select(F.col("p_partkey").alias("a"), F.col("p_name").alias("x"), "p_size").join(p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("y"), "p_size"), "p_size").filter("a < b")
-    return d.withColumn("ratio", F.round(identity.matching_ratio("x", "y"), 6)).filter("ratio >= 0.72").select("a", "b", "ratio")
+    alike = identity.alike_names(p, "p_size", "p_name", 0.72)
+    d = alike.join(p.select(F.col("p_partkey").alias("a"), F.col("p_name").alias("x"), "p_size"), ["x", "p_size"]).join(p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("y"), "p_size"), ["y", "p_size"])
+    return d.filter("a < b").select("a", "b", F.round("ratio", 6).alias("ratio"))
 
 
 @query("url_host_site", r"SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\.', '') AS host, regexp_extract(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\.', ''), '([^.]+\.[^.]+)$', 1) AS site FROM pages")
@@ -205,15 +208,18 @@ def classify_titles(spark, sf):
     return table(spark, sf, "part").select("p_partkey", text.first_of(F.col("p_name"), _KINDS, "film").alias("class"))
 
 
-@query("truncate_words", r"SELECT doc_id, CASE WHEN length(text) <= 100 THEN text ELSE rtrim(CASE WHEN regexp_extract(substr(text, 1, 100), '(?s)^(.*)\s', 1) = '' THEN substr(text, 1, 100) ELSE regexp_extract(substr(text, 1, 100), '(?s)^(.*)\s', 1) END) || '…' END AS short FROM documents")
+_HEAD = "CASE WHEN contains(substr(text, 1, 100), ' ') THEN regexp_extract(substr(text, 1, 100), '(?s)^(.*) ', 1) ELSE substr(text, 1, 100) END"
+
+
+@query("truncate_words", f"SELECT doc_id, CASE WHEN length(text) <= 100 THEN text ELSE rtrim({_HEAD}, '.,;:—–') || '…' END AS short FROM documents")
 def truncate_words(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.truncate(F.col("text"), 100).alias("short"))
 
 
-@query("compact_votes", "WITH v AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_size::VARCHAR || '.5K' WHEN 1 THEN p_size::VARCHAR || 'M' WHEN 2 THEN p_size::VARCHAR ELSE 'n/a' END AS v FROM part) SELECT p_partkey, CAST(round(TRY_CAST(regexp_extract(v, '^([0-9]+(?:\\.[0-9]+)?)([KM]?)$', 1) AS DOUBLE) * CASE regexp_extract(v, '^([0-9]+(?:\\.[0-9]+)?)([KM]?)$', 2) WHEN 'K' THEN 1000 WHEN 'M' THEN 1000000 ELSE 1 END) AS BIGINT) AS votes FROM v")
+@query("compact_votes", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '491.7K' WHEN 1 THEN '2.0M' WHEN 2 THEN p_size::VARCHAR ELSE p_size || '.0K' END AS votes FROM part")
 def compact_votes(spark, sf):
-    k, s = F.col("p_partkey") % 4, F.col("p_size").cast("string")
-    v = F.when(k == 0, F.concat(s, F.lit(".5K"))).when(k == 1, F.concat(s, F.lit("M"))).when(k == 2, s).otherwise("n/a")
+    k, n = F.col("p_partkey") % 4, F.col("p_size")
+    v = F.when(k == 0, 491_700).when(k == 1, 2_000_000).when(k == 2, n).otherwise(n * 1000)
     return table(spark, sf, "part").select("p_partkey", text.compact_votes(v).alias("votes"))
 
 
@@ -233,11 +239,30 @@ def prose_lead(spark, sf):
     return table(spark, sf, "pages").select("page_id", html.lead("html").alias("lead"), F.size(html.paragraphs("html")).alias("paragraphs"))
 
 
-@query("sanitised_state", "SELECT CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NULL THEN 'no k' WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) >= 90 THEN 'k too large' WHEN value < 1 THEN 'value too small' ELSE 'good' END AS outcome, count(*) AS n FROM events GROUP BY 1")
+_STATE = "event_id, CASE WHEN event_id % 5 = 0 THEN 'x' || event_id ELSE ts::DATE::VARCHAR END AS last_ok, CASE WHEN event_id % 7 = 0 THEN '2024-13-01' WHEN event_id % 2 = 0 THEN '2024-02-01' END AS covered_to, event_type"
+
+
+@query("sanitised_state", f"SELECT event_id, TRY_CAST(last_ok AS DATE)::VARCHAR AS last_ok, TRY_CAST(covered_to AS DATE)::VARCHAR AS covered_to FROM (SELECT {_STATE} FROM events) WHERE event_type <> 'error'")
 def sanitised_state(spark, sf):
-    e = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").try_cast("int"))
-    good, bad = sources.sanitised(e, {"no k": "k is not null", "k too large": "k < 90", "value too small": "value >= 1"})
-    return good.select(F.lit("good").alias("outcome")).unionByName(bad.select(F.col("reason").alias("outcome"))).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    return _sanitised(spark, sf)[0]
+
+
+@query("dropped_state", f"WITH s AS (SELECT {_STATE} FROM events) SELECT event_id, 'entry' AS part FROM s WHERE event_type = 'error' UNION ALL SELECT event_id, 'last_ok' FROM s WHERE event_type <> 'error' AND TRY_CAST(last_ok AS DATE) IS NULL UNION ALL SELECT event_id, 'covered_to' FROM s WHERE event_type <> 'error' AND covered_to IS NOT NULL AND TRY_CAST(covered_to AS DATE) IS NULL")
+def dropped_state(spark, sf):
+    return _sanitised(spark, sf)[1]
+
+
+def _sanitised(spark, sf):
+    k = F.col("event_id")
+    e = table(spark, sf, "events").select("event_id", F.when(k % 5 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(F.col("ts").cast("date").cast("string")).alias("last_ok"), F.when(k % 7 == 0, "2024-13-01").when(k % 2 == 0, "2024-02-01").alias("covered_to"), "event_type")
+    good, bad = sources.sanitised(e, "event_id", {c: f"try_to_date({c}, 'yyyy-MM-dd') is not null" for c in ("last_ok", "covered_to")}, "event_type <> 'error'")
+    return good.drop("event_type"), bad
+
+
+@query("json_sidecars", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM events")
+def json_sidecars(spark, sf):
+    e = table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 3 > 0, F.col("props")).when(F.col("event_id") % 2 == 0, "{broken").otherwise("[1]").alias("t"))
+    return sources.json_sidecar(e, "t", "k int").select("event_id", "value.k")
 
 
 @query("embedded_constant", "SELECT n_name AS name, n_regionkey::VARCHAR AS region FROM nation")
@@ -248,5 +273,5 @@ def embedded_constant(spark, sf):
 
 @query("event_windows", "SELECT CAST(ts AS DATE)::VARCHAR AS day, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def event_windows(spark, sf):
-    d = streaming.run_to_table(streaming.windowed_counts(streaming.events_stream(spark, f"{sf}/events.parquet"), "ts", "event_type"))
+    d = streaming.run_to_table(streaming.windowed_counts(streaming.events_stream(spark, f"{sf}/events.parquet"), "ts", "event_type"), ["day", "event_type"])
     return d.withColumn("day", F.col("day").cast("string"))

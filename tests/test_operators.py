@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline import sources
 from plumbline.functions import html, text, urls
-from plumbline.operators import calendar, coverage, graph, identity, merge, quality, state
+from plumbline.operators import calendar, coverage, graph, identity, merge, quality, scan, state
 
 SLOT = "venue long, item long, date date, time string"
 
@@ -93,7 +93,7 @@ def test_empty_set_is_covered(spark):
 def test_budget_selects_the_first_anyway(spark):
     d = spark.createDataFrame([(1, "a", 50), (2, "a", 5), (3, "b", 5), (4, "b", 4), (5, "b", 9)], "id long, g string, n long")
     assert rows(state.budget_prefix(d, "g", ["id"], "n", 10), "id") == [(1,), (3,), (4,)]
-    fit = state.next_fit(d, "g", "id", "n", 2, 10)
+    fit = scan.next_fit(d, "g", "id", "n", 2, 10)
     assert rows(fit, "id", "batch") == [(1, 0), (2, 1), (3, 0), (4, 0), (5, 1)]
 
 

@@ -51,8 +51,8 @@ LENGTH, GRAM = 100, 32
 SLICE = 1_000_000
 #: bytes of texts that are settled together before anything is dealt out
 BLOCK = 8 << 20
-#: bytes of a part; a small corpus has as many as LEAST_PARTS smaller ones
-PART, SMALL_PART, LEAST_PARTS = 32 << 20, 1 << 20, 64
+#: bytes of a part; up to LEAST_PARTS parts are smaller, so that a small corpus keeps all tasks busy
+PART, SMALL_PART, LEAST_PARTS = 32 << 20, 2 << 20, 4096
 #: occurrences from which an anchor is hot: so many, or as many as leave MOST_HOT hot ones
 HOT, MOST_HOT = 4096, 1 << 20
 _SAMPLE = np.dtype([("h", "<u8"), ("t", "<i8"), ("p", "<u4"), ("n", "<u4")])
@@ -369,7 +369,7 @@ def _removed(spans: DataFrame, count: int) -> DataFrame:
             a = rows["a"][found[:, 0]].astype(np.int64)
             yield merged(rows["t"][found[:, 0]], a + found[:, 1], a + found[:, 2] + LENGTH)
 
-    return spans.repartition(min(2 * count, MOST_TASKS) if count > 1 else 1, "part").sortWithinPartitions("part").mapInPandas(run, "t long, data binary")
+    return spans.repartition(min(count, MOST_TASKS), "part").sortWithinPartitions("part").mapInPandas(run, "t long, data binary")
 
 
 class _Slices:

@@ -190,7 +190,7 @@ _H = r"regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[
 _STEM = r"regexp_replace(regexp_extract(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '([^/]*)$', 1), '\.[^.]*$', '')"
 
 
-@query("reject_reason", f"""SELECT page_id, CASE WHEN coalesce(url, '') = '' THEN 'empty value' WHEN NOT starts_with(url, 'https://') THEN 'not https' WHEN {_H} = '' THEN 'no host' WHEN {_H} IN ('free-bets.example.com', 'spam-farm.example.org') THEN 'distrusted host' WHEN regexp_matches({_STEM}, '^[0-9]{{3}}$') THEN 'opaque name' WHEN regexp_matches(lower(url), 'ref=x') THEN 'placeholder' END AS reason FROM pages""")
+@query("reject_reason", f"""SELECT page_id, CASE WHEN coalesce(url, '') = '' THEN 'empty value' WHEN NOT starts_with(url, 'https://') THEN 'not https' WHEN {_H} = '' THEN 'no host' WHEN {_H} IN ('free-bets.example.com', 'spam-farm.example.org') OR {_H} LIKE '%.free-bets.example.com' OR {_H} LIKE '%.spam-farm.example.org' THEN 'distrusted host' WHEN regexp_matches({_STEM}, '^[0-9]{{3}}$') THEN 'opaque name' WHEN regexp_matches(lower(url), 'ref=x') THEN 'placeholder' END AS reason FROM pages""")
 def reject_reason(spark, sf):
     return table(spark, sf, "pages").select("page_id", urls.reject_reason(F.col("url"), ["free-bets.example.com", "spam-farm.example.org"], "ref=x", "^[0-9]{3}$").alias("reason"))
 

@@ -26,7 +26,7 @@ def films(spark, sf):
     n = F.concat("p_name", F.lit(" "), _code(F.expr("p_partkey div 60")))
     return p.select(
         k.alias("id"), F.when(k % 4 == 1, F.concat(n, F.lit(": part "), _code(k % 7))).otherwise(n).alias("bg"), F.when(k % 5 == 0, F.concat(F.lit("the "), n)).alias("en"),
-        F.when(k % 7 == 0, F.concat(F.lit("orig "), _code(k))).alias("original"), F.when(k % 11 > 0, k % 30 + 1990).alias("year"), F.when(k % 6 > 0, k % 50 + 80).alias("runtime"), (k % 4 == 0).alias("minted"))
+        F.when(k % 7 == 3, F.concat(F.lit("orig "), _code(k))).alias("original"), F.when(k % 11 > 0, k % 30 + 1990).alias("year"), F.when(k % 6 > 0, k % 50 + 80).alias("runtime"), (k % 4 == 0).alias("minted"))
 
 
 def titles(spark, sf):
@@ -63,7 +63,7 @@ def corroborated(spark, sf):
 _YEAR = "1990 + (k - 1) % 30"
 _RES = f"""WITH p AS (SELECT p_partkey AS k, p_name || ' ' || {_sql_code('p_partkey // 60')} AS n FROM part),
 f AS (SELECT k AS id, n, CASE WHEN k % 11 > 0 THEN 1990 + k % 30 END AS year, CASE WHEN k % 6 > 0 THEN 80 + k % 50 END AS runtime, k % 4 = 0 AS minted, CASE WHEN k % 4 = 1 THEN n || ': part ' || {_sql_code('k % 7')} ELSE n END AS bg FROM p WHERE k % 3 = 0),
-fk AS (SELECT id, replace(bg, ':', '') AS key, CASE WHEN id % 4 = 1 THEN n END AS base FROM f UNION SELECT id, 'the ' || n, NULL FROM f WHERE id % 5 = 0 UNION SELECT id, 'orig ' || {_sql_code('id')}, NULL FROM f WHERE id % 7 = 0),
+fk AS (SELECT id, replace(bg, ':', '') AS key, CASE WHEN id % 4 = 1 THEN n END AS base FROM f UNION SELECT id, 'the ' || n, NULL FROM f WHERE id % 5 = 0 UNION SELECT id, 'orig ' || {_sql_code('id')}, NULL FROM f WHERE id % 7 = 3),
 t AS (SELECT t.k AS title_id, p.n, t.k % 5 AS venue, CASE t.k % 7 WHEN 1 THEN p.n || ' extra' WHEN 2 THEN substr(p.n, 1, 2) || substr(p.n, 4) WHEN 3 THEN translate(p.n, '{LATIN}', '{CYRILLIC}') WHEN 4 THEN 'zzz ' || {_sql_code('t.k')} WHEN 5 THEN 'alias ' || {_sql_code('t.k')} ELSE p.n END AS key,
   CASE WHEN t.k % 7 = 1 THEN p.n END AS base, CASE WHEN t.k % 7 = 4 THEN 'orig ' || {_sql_code('t.k - 1')} END AS okey, CASE WHEN t.k % 5 > 0 THEN 1990 + (t.k - 1) % 30 + CASE WHEN t.k % 13 = 0 THEN 3 ELSE 0 END WHEN t.k % 7 = 6 THEN 1990 + (t.k - 1) % 30 END AS ty, CASE WHEN t.k % 4 > 0 THEN 80 + (t.k - 1) % 50 + t.k % 9 END AS tr,
   CASE t.k % 7 WHEN 0 THEN upper(p.n) WHEN 3 THEN translate(p.n, '{LATIN}', '{CYRILLIC}') WHEN 6 THEN p.n || ' (' || (1990 + (t.k - 1) % 30) || ')' WHEN 2 THEN substr(p.n, 1, 2) || substr(p.n, 4) ELSE 'x' END AS title FROM p t JOIN p ON p.k = t.k - 1 WHERE t.k % 3 = 1),

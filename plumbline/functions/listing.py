@@ -180,3 +180,34 @@ def price_text(c: Column) -> Column:
         F.when(low != high, F.concat(fmt(low), F.lit("–"), fmt(high), F.lit(" €"))).when(low.isNotNull(), F.concat(F.when(start, "от ").otherwise(""), fmt(low), F.lit(" €")))
         .when(F.length(plain).between(1, 24) & ~F.contains(plain, F.lit("лв")), plain)
     )
+
+
+# fixed values: prepositions of place, and words that no venue's name needs
+PLACE_WORDS = ("в", "във", "на", "към", "до", "пред", "от")
+NAME_STOPS = ("на", "и", "в", "във", "с", "за", "от", "the", "of", "a")
+
+
+def named_places(c: Column, forms: dict[str, list[str]]) -> Column:
+    """Ids of venues that a text names in a place phrase, in its order: all words of a form stand in a short stretch, one or two words behind a preposition of place.
+
+    forms: id to folded names.
+    """
+    words = F.split(text.fold_marks(c, "event"), " ")
+
+    def place(own: list[str]) -> Column:
+        stretch = 1 if len(own) == 1 else len(own) + 2
+
+        def fits(i: Column) -> Column:
+            whole = F.forall(F.array(*map(F.lit, own)), lambda w: F.array_contains(F.slice(words, i, F.lit(stretch)), w))
+            before = F.slice(words, F.greatest(F.lit(1), i - 2), F.least(F.lit(2), i - 1))
+            return F.get(words, i - 1).isin(*own) & whole & F.arrays_overlap(before, F.array(*map(F.lit, PLACE_WORDS)))
+
+        return F.array_min(F.filter(F.sequence(F.lit(1), F.size(words)), fits))
+
+    found = []
+    for vid, names in forms.items():
+        for name in names:
+            at = place([w for w in name.split() if w not in NAME_STOPS])
+            found.append(F.when(at.isNotNull(), F.struct(at.alias("at"), F.lit(vid).alias("id"))))
+    hits = F.array_sort(F.filter(F.array(*found), lambda x: x.isNotNull()))
+    return F.array_distinct(F.transform(hits, lambda x: x["id"]))

@@ -177,3 +177,23 @@ def upcoming_counts(cells: DataFrame, performances: DataFrame, shows: DataFrame,
     a = cells.filter(F.col("date") >= lo).select("venue", F.size("times").alias("n"))
     b = performances.filter(F.col("date") >= lo).join(shows.select("show", "venue"), "show").select("venue", F.lit(1).alias("n"))
     return a.unionByName(b).groupBy("venue").agg(F.sum("n").alias("n"))
+
+
+# fixed values: what the first part of a page that refuses a reader says, in lower case
+CHALLENGES = (
+    ("<title>just a moment...</title>", "Cloudflare challenge"), ("cf_chl_opt", "Cloudflare challenge"), ("attention required! | cloudflare", "Cloudflare block page"),
+    ("sucuri website firewall", "Sucuri firewall"), ("imunify360 bot-protection", "Imunify360 bot protection"), ("<title>ddos-guard</title>", "DDoS-Guard"),
+)
+
+
+def challenge(html: Column, head: int = 8192) -> Column:
+    """The protection whose challenge or block page this is, else null."""
+    start, out = F.lower(F.substring(html, 1, head)), F.lit(None).cast("string")
+    for sign, name in reversed(CHALLENGES):
+        out = F.when(F.contains(start, F.lit(sign)), name).otherwise(out)
+    return out
+
+
+def robots_verdict(status: Column, blocked: Column) -> Column:
+    """What a host's robots.txt answer means: rules, none (allowed) or unreachable (not read this run)."""
+    return F.when(blocked.isNotNull(), "unreachable").when(status.between(200, 299), "rules").when(status.between(400, 499) & (status != 429), "none").otherwise("unreachable")

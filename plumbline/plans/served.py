@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from plumbline import sources
-from plumbline.operators import graph, serving
+from plumbline.functions import html, listing
+from plumbline.operators import control, duplicates, events, graph, identity, serving
 from plumbline.registry import query
 from plumbline.session import table
 
@@ -274,3 +275,53 @@ def identity_facts(spark, sf):
     s = F.col("p_size")
     alt = F.when(k % 3 == 0, F.concat("p_name", F.lit(" ("), (s + 1900).cast("string"), F.lit(")")))
     return p.select("p_partkey", F.coalesce(F.when(k % 2 == 0, s + 1950), text.title_year(alt)).alias("year"), s.alias("runtime"))
+
+
+@query("paragraph_kinds", "SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'credit' WHEN 1 THEN 'visit' WHEN 2 THEN 'epigraph' WHEN 3 THEN 'person' WHEN 4 THEN 'prose' ELSE 'short' END AS kind FROM part")
+def paragraph_kinds(spark, sf):
+    p, k = _p(spark, sf)
+    n = F.col("p_name")
+    said = F.element_at(F.array(
+        F.concat(F.lit("Режисьор: "), n), F.concat(F.lit("Билети от "), n), F.concat(F.lit("„Да бъде "), n, F.lit(" небето…“")), F.concat(F.lit("Роден в град "), n, F.lit(", живее там.")),
+        F.concat(F.lit("една дълга история за "), n, F.lit(", която се разказва бавно и с много думи. накрая свършва.")), n,
+    ), (k % 6 + 1).cast("int"))
+    return p.select("p_partkey", html.paragraph_kind(said).alias("kind"))
+
+
+@query("challenge_pages", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'Cloudflare challenge' WHEN 1 THEN 'DDoS-Guard' WHEN 2 THEN NULL END AS name, CASE page_id % 5 WHEN 0 THEN 'rules' WHEN 1 THEN 'none' ELSE 'unreachable' END AS robots FROM pages")
+def challenge_pages(spark, sf):
+    k = F.col("page_id")
+    page = F.concat(F.when(k % 4 == 0, "<TITLE>Just a moment...</TITLE>").when(k % 4 == 1, "<title>DDoS-Guard</title>").otherwise(""), "html")
+    status = F.when(k % 5 == 0, 200).when(k % 5 == 1, 404).when(k % 5 == 2, 429).when(k % 5 == 3, 200)
+    return table(spark, sf, "pages").select("page_id", control.challenge(page).alias("name"), control.robots_verdict(status, F.when(k % 5 == 3, "challenge")).alias("robots"))
+
+
+@query("named_places", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'derida,g8' WHEN 1 THEN 'topl' WHEN 2 THEN '' ELSE 'g8' END AS places FROM part")
+def named_places(spark, sf):
+    p, k = _p(spark, sf)
+    n = F.col("p_name")
+    said = F.element_at(F.array(F.concat(n, F.lit(" на сцена „Дерида“, после в зала 1 на G8.")), F.concat(n, F.lit(" към РЦСИ Топлоцентрала")), F.concat(n, F.lit(" с партньори Дерида и G8")), F.concat(n, F.lit(" пред G8"))), (k % 4 + 1).cast("int"))
+    places = listing.named_places(said, {"derida": ["сцена дерида"], "g8": ["g8"], "topl": ["рцси топлоцентрала", "топлоцентрала"]})
+    return p.select("p_partkey", F.array_join(places, ",").alias("places"))
+
+
+@query("multi_hall_titles", "WITH s AS (SELECT DISTINCT l_suppkey AS venue, date_trunc('month', l_shipdate) AS date, l_linenumber AS time, l_partkey AS id FROM lineitem), m AS (SELECT DISTINCT a.venue, a.date, a.time FROM s a JOIN s b ON a.venue = b.venue AND a.date = b.date AND a.time = b.time AND a.id < b.id JOIN part p ON p.p_partkey = a.id JOIN part q ON q.p_partkey = b.id WHERE NOT list_has_any(string_split(p.p_name, ' '), string_split(q.p_name, ' '))) SELECT venue FROM m GROUP BY 1 HAVING count(*) >= 2")
+def multi_hall_titles(spark, sf):
+    p, k = _p(spark, sf)
+    slots = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("venue"), F.trunc("l_shipdate", "month").alias("date"), F.col("l_linenumber").alias("time"))
+    return duplicates.multi_hall_venues(p.select(k.alias("id"), F.col("p_name").alias("key")), slots)
+
+
+@query("top_cast", "SELECT p_type, array_to_string(list(p_name ORDER BY f)[1:5], ', ') AS names FROM (SELECT p_type, p_name, min(p_partkey) AS f FROM part GROUP BY 1, 2) GROUP BY 1")
+def top_cast(spark, sf):
+    return events.first_names(table(spark, sf, "part"), "p_type", "p_partkey", "p_name", 5)
+
+
+@query("record_contradictions", "SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 AND p_partkey % 2 > 0 THEN 'year' WHEN p_size % 7 = 0 THEN 'runtime' WHEN p_partkey % 3 = 0 THEN 'director' END AS fact FROM part")
+def record_contradictions(spark, sf):
+    p, k = _p(spark, sf)
+    a, b = F.lit("Ферзан Йозпетек"), F.when(k % 3 == 0, "Jimmy Chin").when(k % 3 == 1, "Ferzan Ozpetek").otherwise("")
+    d = p.select("p_partkey", "p_size", F.lit(2000).alias("ya"), F.when(k % 5 == 0, 2010).otherwise(2004).alias("yb"), a.alias("da"), b.alias("db")).withColumn("agree", identity.names_agree("da", "db"))
+    runtime = F.abs(F.when(F.col("p_size") % 7 == 0, 60).otherwise(0)) <= 25
+    year = identity.plausible_year(F.col("yb"), F.col("ya"), F.col("p_partkey") % 2 == 0)
+    return d.select("p_partkey", events.contradiction([("year", year), ("runtime", runtime), ("director", F.col("agree"))]).alias("fact"))

@@ -228,7 +228,8 @@ def hash_colours(spark, sf):
     return table(spark, sf, "part").select("p_partkey", text.colour(F.col("p_name")).alias("hue"))
 
 
-@query("html_title_links", r"""SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, len(regexp_extract_all(html, '(?s)<h1>(.*?)</h1>', 1)) AS headings, len(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS links, md5(array_to_string(regexp_extract_all(html, 'href="([^"]*)"', 1), ' ')) AS links_md5 FROM pages""")
+@query("html_title_links", r"""WITH l AS (SELECT *, list_transform(regexp_extract_all(html, '(?i)\bhref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), lambda x: regexp_replace(x, '^["'']|["'']$', '', 'g')) AS ls FROM pages)
+SELECT page_id, regexp_extract(html, '(?is)<title(?:\s[^>]*)?>(.*?)</title>', 1) AS title, len(regexp_extract_all(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1>', 1)) AS headings, len(ls) AS links, md5(array_to_string(ls, ' ')) AS links_md5 FROM l""")
 def html_title_links(spark, sf):
     h = F.col("html")
     return table(spark, sf, "pages").select("page_id", html.title(h).alias("title"), F.size(html.headings(h)).alias("headings"), F.size(html.links(h)).alias("links"), F.md5(F.array_join(html.links(h), " ").cast("binary")).alias("links_md5"))

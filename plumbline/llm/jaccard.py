@@ -58,11 +58,13 @@ LEADERS = 4
 ROUNDS = 4
 MOST_COMMON = 100_000
 COUNT_BLOCK = 3_000_000
-FRAGMENT_ROWS = 2_000_000
+FRAGMENT_ROWS = 500_000
 VERIFY_BITS = 2
 HELD = 400_000
 #: texts with a shingle from which its rows are dealt by class too; classes of a shingle compared in one cell
-HOT, CELL = 2_000, 1_024
+HOT, CELL = 2_000, 4_096
+#: numbers of a matrix of classes and shingles that is held at once
+DENSE = 4_000_000
 _ROW = np.dtype([("k", "<u8"), ("c", "<i8"), ("n", "<i4")])
 
 
@@ -305,11 +307,12 @@ def _cross_pairs(known: DataFrame, count: int) -> DataFrame:
             m[lookup[row[own]], place[own]] = 1
             return m
 
-        for y in range(0, len(all_rows), 2048):
-            right = all_rows[y : y + 2048]
+        wide = max(16, min(1024, DENSE // max(1, len(tokens))))
+        for y in range(0, len(all_rows), wide):
+            right = all_rows[y : y + wide]
             there = dense(right)
-            for x in range(0, len(some), 512):
-                left = some[x : x + 512]
+            for x in range(0, len(some), wide):
+                left = some[x : x + wide]
                 here = dense(left)
                 both = here @ there.T
                 fits = (root[left][:, None] != root[right]) & (main[right] | (c[left][:, None] < c[right]))

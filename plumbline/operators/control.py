@@ -114,18 +114,24 @@ def todo(titles: DataFrame, today: str, cap: int, hold: int = 3) -> DataFrame:
 
 def shards(items: DataFrame, target: int) -> DataFrame:
     """item, bin: longest first into the least loaded of as few bins as keep to target, where no single item exceeds it; items: group, position, item, seconds."""
+    import heapq
+
     import pandas as pd
 
     def one(d: pd.DataFrame) -> pd.DataFrame:
         d = d.sort_values(["seconds", "position"], ascending=[False, True], ignore_index=True)
         n = max(1, -(-int(d["seconds"].sum()) // target))
         while True:
-            load, held, bins = [0] * n, [0] * n, []
+            # the least loaded bin, the first of equal ones, on top
+            load, held, bins, most = [(0, b) for b in range(n)], [0] * n, [], n >= len(d)
             for s in d["seconds"].tolist():
-                b = load.index(min(load))
-                load[b], held[b] = load[b] + s, held[b] + 1
+                x, b = load[0]
+                if x + s > target and held[b] and not most:
+                    break
+                heapq.heapreplace(load, (x + s, b))
+                held[b] += 1
                 bins.append(b)
-            if n >= len(d) or all(x <= target or k == 1 for x, k in zip(load, held, strict=True)):
+            else:
                 return d[["group", "item"]].assign(bin=bins)
             n += 1
 

@@ -6,29 +6,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from plumbline.operators import graph
 from plumbline.operators.scan import running
 
 BUCKET = 32
+#: ids of a unit, about: events of equal words and dates
+UNIT = 1_000
 
 
 def same_event_pairs(events: DataFrame, generic: list[str], shared: int = 6) -> DataFrame:
     """Pairs (a, b) whose dates overlap and of which one's title words hold the other's, or that share a long word.
 
-    events: id, words (array), first, last.  Pairs meet at a word they share and
-    a BUCKET-day stretch both touch, so no pair without either is compared.
+    events: id, words (array), first, last.  Events of equal words and dates are one unit (of about UNIT ids at most),
+    so the comparisons are of units.  Units meet at a word they share and a BUCKET-day stretch both touch, so no pair
+    without either is compared; each is found once, at its first long word and in the first stretch, and gives the
+    pairs of its ids.
     """
-    words = F.array_distinct(F.filter("words", lambda w: ~w.isin(*generic) & (F.length(w) >= 2) & ~F.rlike(w, F.lit("^[0-9]+"))))
-    e = events.select("id", words.alias("words"), "first", "last").filter(F.size("words") > 0)
-    # a word of one event's words that the fewest events have: all its words are in the other only if this one is
-    seen = e.select("id", F.explode("words").alias("word"))
-    rare = seen.join(seen.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word").groupBy("id").agg(F.min(F.struct("n", "word"))["word"].alias("rare"))
-    e = e.join(rare, "id").withColumn("bucket", F.explode(F.sequence(F.floor(F.unix_date("first") / BUCKET), F.floor(F.unix_date("last") / BUCKET))))
-    far = e.withColumn("word", F.explode("words"))
-    overlap = (F.col("x.first") <= F.col("y.last")) & (F.col("y.first") <= F.col("x.last"))
-    long = far.filter(F.length("word") >= shared)
-    d = long.alias("x").join(long.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.word") == F.col("y.word")) & (F.col("x.id") < F.col("y.id"))).filter(overlap).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    held = e.alias("x").join(far.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rare") == F.col("y.word")) & (F.col("x.id") != F.col("y.id"))).filter(overlap & (F.size(F.array_except("x.words", "y.words")) == 0))
-    return d.unionByName(held.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))).distinct()
+    words = F.array_sort(F.array_distinct(F.filter("words", lambda w: ~w.isin(*generic) & (F.length(w) >= 2) & ~F.rlike(w, F.lit("^[0-9]+")))))
+    alike = ["words", "first", "last"]
+    e = graph.cut(events.select("id", words.alias("words"), "first", "last").filter(F.size("words") > 0).distinct())
+    parts = e.groupBy(*alike).agg(F.ceil(F.count(F.lit(1)) / UNIT).alias("parts"))
+    u = e.join(parts, alike).groupBy(*alike, F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")).agg(F.collect_list("id").alias("ids"))
+    # written, so that both sides of a pair have one number for a unit
+    u = graph.cut(u.select(F.monotonically_increasing_id().alias("u"), *alike, F.filter("words", lambda w: F.length(w) >= shared).alias("long"), "ids"))
+    # a word of one unit's words that the fewest units have: all its words are in the other only if this one is
+    seen = u.select("u", F.explode("words").alias("word"))
+    rare = seen.join(seen.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word").groupBy("u").agg(F.min(F.struct("n", "word"))["word"].alias("rare"))
+    stretch = F.explode(F.sequence(F.floor(F.unix_date("first") / BUCKET), F.floor(F.unix_date("last") / BUCKET)))
+
+    def meet(x: DataFrame, y: DataFrame, x_word: str, rest: Column) -> DataFrame:
+        at = (F.col("x.bucket") == F.col("y.bucket")) & (F.col(f"x.{x_word}") == F.col("y.word"))
+        overlap = (F.col("x.first") <= F.col("y.last")) & (F.col("y.first") <= F.col("x.last"))
+        once = F.col("x.bucket") == F.floor(F.unix_date(F.greatest("x.first", "y.first")) / BUCKET)
+        d = x.alias("x").join(y.alias("y"), at).filter(overlap & once).filter(rest)
+        d = d.select((F.col("x.u") == F.col("y.u")).alias("own"), F.col("y.ids").alias("other"), F.explode("x.ids").alias("p")).select("own", "p", F.explode("other").alias("q"))
+        return d.filter((F.col("p") < F.col("q")) | (~F.col("own") & (F.col("p") > F.col("q")))).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+
+    far = u.withColumn("bucket", stretch)
+    long = far.select("u", "first", "last", "long", "ids", "bucket", F.explode("long").alias("word"))
+    by_long = meet(long, long, "word", (F.col("x.u") <= F.col("y.u")) & (F.array_min(F.array_intersect("x.long", "y.long")) == F.col("x.word")))
+    equal = F.size("x.words") == F.size("y.words")
+    held = meet(far.join(rare, "u"), far.withColumn("word", F.explode("words")), "rare", (~equal | (F.col("x.u") <= F.col("y.u"))) & ~F.arrays_overlap("x.long", "y.long") & (F.size(F.array_except("x.words", "y.words")) == 0))
+    d = by_long.unionByName(held)
+    # an id on rows with other words or dates may meet another one more than once
+    return d.distinct() if not e.groupBy("id").count().filter("count > 1").isEmpty() else d
 
 
 def festival_overlay(rows: DataFrame, own: DataFrame, last: DataFrame, fresh: DataFrame, prelim: DataFrame, sticky: DataFrame, kept_venues: list, festival_venues: list, cover: list[tuple[str, str]], floor: str, end: str) -> tuple[DataFrame, DataFrame, DataFrame]:

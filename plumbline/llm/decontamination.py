@@ -120,6 +120,18 @@ _u = Words([u.encode() for u in UNITS])
 _UNIT_HASHES = _u.hash
 
 
+class Sieve:
+    """Which hashes may be among the known ones: all that are, and about one in sixteen others; the search of the known ones is costly."""
+
+    def __init__(self, known: np.ndarray):
+        self.shift = np.uint64(64 - max(12, (16 * len(known)).bit_length()))
+        self.seen = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.seen[known.astype(np.uint64) >> self.shift] = True
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(self.seen[h.astype(np.uint64, copy=False) >> self.shift])
+
+
 class Items:
     """Windows of benchmark items, by length of the window."""
 
@@ -127,21 +139,23 @@ class Items:
         self.ids = [i for i, _ in rows]
         self.t = t = Templates([folded(x) for _, x in rows])
         self.n, self.first = t.words.n, t.words.first
-        self.by_length: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        self.by_length: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, Sieve]] = {}
         for form in FORMS:
             for k in sorted({min(int(n), WINDOW) for n in self.n if n >= (1 if form == PLAIN else SHORTEST)}):
                 at, h = t.windows(k, form)
                 size = self.n[t.of[at]]
                 own = size >= WINDOW if k == WINDOW else size == k
                 order = np.argsort(h[own], kind="stable")
-                self.by_length[form, k] = h[own][order], at[own][order]
+                self.by_length[form, k] = h[own][order], at[own][order], Sieve(h[own])
 
     def hits(self, d: Templates) -> Iterator[tuple[int, int, list[tuple[int, int, np.ndarray]]]]:
         """(text, item, [(form, diagonal, words of d on it)]) for diagonals with a run that is long enough."""
         texts = len(d.words.n)
         found, total = [], np.zeros(texts, np.int64)
-        for (form, k), (known, place) in self.by_length.items():
+        for (form, k), (known, place, sieve) in self.by_length.items():
             at, h = d.windows(k, form)
+            likely = sieve.holds(h)
+            at, h = at[likely], h[likely]
             lo, hi = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
             own = np.flatnonzero(hi > lo)
             if len(own):

@@ -218,7 +218,7 @@ def _summed(first: list[np.ndarray], second: list[np.ndarray], kind: int) -> Ite
 
 
 def _fragment_pairs(prefixes: DataFrame, fragments: int) -> DataFrame:
-    """kind 0: a pair's count in a fragment; 1: of class a, how many shingles are in small groups; 2: a row (shingle a, class b) of a large group."""
+    """kind 0: a pair's count in a fragment; 2: a row (shingle a, class b) of a large group."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for (f,), blobs in by_key(batches, ["part"]):
@@ -233,7 +233,7 @@ def _fragment_pairs(prefixes: DataFrame, fragments: int) -> DataFrame:
             rows = rows[np.argsort(rows["k"], kind="stable")]
             edge = np.flatnonzero(np.concatenate(([True], rows["k"][1:] != rows["k"][:-1], [True]))) if len(rows) else np.zeros(1, np.int64)
             size = np.diff(edge)
-            first, second, held, in_small = [], [], 0, []
+            first, second, held = [], [], 0
             for at, m in zip(edge[:-1][size > 1], size[size > 1], strict=True):
                 group = rows[at : at + m]
                 group = group[np.unique(group["c"], return_index=True)[1]]
@@ -241,7 +241,6 @@ def _fragment_pairs(prefixes: DataFrame, fragments: int) -> DataFrame:
                     continue
                 group = group[np.argsort(group["n"], kind="stable")]
                 if len(group) <= GROUP:
-                    in_small.append(group["c"])
                     for i, j in _all_pairs(group):
                         first.append(group[i])
                         second.append(group[j])
@@ -252,9 +251,6 @@ def _fragment_pairs(prefixes: DataFrame, fragments: int) -> DataFrame:
                     continue
                 yield _pair_frame(2, group["k"].view(np.int64), group["c"], group["n"], group["n"], 1)
             yield from _summed(first, second, 0)
-            if in_small:
-                c, n = np.unique(np.concatenate(in_small), return_counts=True)
-                yield _pair_frame(1, c, c, n, n, n)
 
     return prefixes.repartition(min(fragments, MOST_TASKS), "part").sortWithinPartitions("part").mapInPandas(run, _PAIRS)
 
@@ -281,11 +277,11 @@ def _cross_pairs(known: DataFrame, count: int) -> DataFrame:
     """Pairs of unlike roots within large groups, once each, with their common large shingles.
 
     known: a shingle, m its classes, main its most frequent root, b class, na size, root, own (all
-    large shingles of the class, sorted), other (how many of its shingles are in
-    small groups).  A group's classes are dealt into buckets of about CELL;
+    large shingles of the class, sorted), other (the most shingles of small groups that
+    it has in common with any class of fitting size).  A group's classes are dealt into buckets of about CELL;
     those of other roots than the main one meet all buckets, a pair of buckets being
     one cell.  A pair belongs to its smallest common shingle.  Pairs that can't
-    link even if all the others that are shared with any class were common are left out.
+    link even if as many others were common are left out.
     """
 
     def cell_pairs(d: pd.DataFrame, token: int) -> Iterator[pd.DataFrame]:
@@ -413,8 +409,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tried = materialize(_fragment_pairs(_prefixes(rows, last, hot, fragment_edges(sizes, fragments)), fragments))
-    counted = tried.filter("kind = 0").select("a", "b", "na", "nb", "n")
-    likely = materialize(counted.groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n")).filter(_can_link()))
+    counted = materialize(tried.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n")))
+    likely = counted.filter(_can_link())
     large = tried.filter("kind = 2").select("a", "b", "na")
     leaders, top = _leader_pairs(large)
     pairs = materialize(_best(likely).unionByName(leaders).distinct())
@@ -431,11 +427,11 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     mixed = materialize(mixed.filter("roots > 1").drop("roots"))
     known = materialize(known.join(mixed, "a"))
     lists = known.groupBy("b").agg(F.sort_array(F.collect_list("a")).alias("own"))
-    others = tried.filter("kind = 1").groupBy(F.col("a").alias("b")).agg(F.sum("n").alias("other"))
+    others = counted.select(F.col("a").alias("b"), "n").unionAll(counted.select("b", "n")).groupBy("b").agg(F.max("n").alias("other"))
     cross = _cross_pairs(known.join(lists, "b").join(others, "b", "left").fillna(0, ["other"]), tasks)
-    more = cross.unionByName(counted.withColumn("n", F.col("n").cast("long"))).groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n")).filter(_can_link())
+    more = cross.unionByName(counted).groupBy("a", "b", "na", "nb").agg(F.sum("n").alias("n")).filter(_can_link())
     more, left = _between(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), roots)
-    done = [tried, likely, top, pairs, cuts, links, roots, mixed, known, more]
+    done = [tried, counted, top, pairs, cuts, links, roots, mixed, known, more]
     for _ in range(ROUNDS):
         if left <= 4 * ends.count():
             break

@@ -208,3 +208,26 @@ def test_common_words_of_other_languages(spark, tmp_path):
     duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     want = duck.sql(f"SELECT doc_id, kept, js_common FROM ({oracles.quality_sql()}) ORDER BY 1").fetchall()
     assert want == [tuple(r) for r in queries.op2_divergence_rules(spark, str(tmp_path)).select("doc_id", "kept", "js_common").orderBy("doc_id").collect()]
+
+
+def test_fragment_pairs_has_no_row_for_a_class_without_a_pair(spark):
+    """Rows of a class in every fragment grew with the number of fragments, whether or not it had a partner."""
+    import numpy as np
+
+    short = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(short,), (short + " " + " ".join(f"x{i}" for i in range(300)),)], "__text string")
+    for fragments in (2, 40):
+        edges = np.arange(1, fragments) / fragments
+        assert jaccard._fragment_pairs(jaccard._prefixes(rows, [], 0, edges), fragments).count() == 0
+
+
+def test_large_groups_count_what_small_ones_share(spark, monkeypatch):
+    """Classes that meet in a large group may link by what they share in small ones."""
+    monkeypatch.setattr(jaccard, "GROUP", 2)
+    monkeypatch.setattr(jaccard, "LEADERS", 1)
+    common = " ".join(f"c{i}" for i in range(12))
+    texts = [f"{common} " + " ".join(f"g{g}w{i}" for i in range(40 + 2 * v)) for g in range(6) for v in range(2)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_components(d).collect()}
+    assert got == brute_components(dict(enumerate(texts)))
+    assert {c for _, c in got.values()} == {0, 2, 4, 6, 8, 10}

@@ -20,25 +20,39 @@ SEQUEL = (
 )
 SHORT_WORDS = ("от", "на", "за", "в", "във", "и", "с", "със", "по", "до", "the", "of", "a", "an", "and", "to", "in", "on")
 FUZZY = ("function-word", "prefix", "contained")
+#: words of venues that are sent to every task at most
+MOST_TRIED = 100_000
 NEAR_YEARS, NEAR_RUNTIMES, SAME_RUNTIMES = 1, 10, 3
 
 
+def screenings(slots: DataFrame) -> DataFrame:
+    """id, at: a film's different slots (venue, date, time) in one row; slots of that form stay as they are."""
+    if "at" in slots.columns:
+        return slots
+    # dealt by film first, so that nothing but arrays is left to merge
+    return slots.select("id", F.struct("venue", "date", "time").alias("x")).repartition("id").groupBy("id").agg(F.collect_set("x").alias("at"))
+
+
 def evidence(films: DataFrame, slots: DataFrame) -> DataFrame:
     """What is known about each film on screen.
 
-    films: id, bg, en, original, years, runtimes, ids (arrays), minted.  slots: id, venue, date, time.
+    films: id, bg, en, original, years, runtimes, ids (arrays), minted.  slots: id, venue, date, time, or screenings of those.
+    A title is cleaned once; bare, its key without the note, is for titles with a note only.
     """
-    seen = slots.select("id", "venue", "date", "time").distinct()
-    shown = seen.groupBy("id").agg(
-        F.array_sort(F.collect_set("venue")).alias("venues"), F.count(F.lit(1)).alias("slots"), F.min("date").alias("first"), F.max("date").alias("last"))
-    each = films.select("id", F.explode(F.filter(F.array("bg", "en", "original"), lambda t: F.coalesce(t, F.lit("")) != "")).alias("t"))
-    keys = text.with_keys(each, "t").filter("key <> ''").groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    d = text.with_keys(films.withColumn("clean", text.clean_title(F.col("bg"))), "bg", "key", "base")
-    d = d.withColumn("note", text.note_of(F.col("clean"))).withColumn("less", text.without_note(F.col("clean"))).withColumn("year", text.title_year(F.col("clean")))
+    venues = F.filter(F.transform("at", lambda x: x["venue"]), lambda v: v.isNotNull())
+    dates = F.transform("at", lambda x: x["date"])
+    shown = screenings(slots).select("id", F.array_sort(F.array_distinct(venues)).alias("venues"), F.size("at").cast("long").alias("slots"), F.array_min(dates).alias("first"), F.array_max(dates).alias("last"))
+    d = graph.spread(films.select("id", "bg", "en", "original", "years", "runtimes", "ids", "minted")).withColumn("clean", text.clean_title(F.col("bg")))
+    d = text.with_keys(d, "clean", cleaned=True)
+    for c in ("en", "original"):
+        d = text.with_keys(d, c, f"key_{c}", "__unused")
+    d = d.withColumn("note", text.note_of(F.col("clean"))).withColumn("less", F.when(F.col("note") != "", text.without_note(F.col("clean")))).withColumn("year", text.title_year(F.col("clean")))
     d = text.with_keys(d, "less", "bare", "__unused")
     years = F.array_sort(F.array_distinct(F.filter(F.concat("years", F.array("year")), lambda y: y.isNotNull())))
-    d = d.select("id", "bg", "minted", "key", F.coalesce("base", "key").alias("main"), "note", "bare", years.alias("years"), "runtimes", "ids")
-    return d.join(keys, "id").join(shown, "id")
+    own = F.filter(F.array("key", "key_en", "key_original"), lambda x: F.coalesce(x, F.lit("")) != "")
+    d = graph.cut(d.select("id", "bg", "minted", "key", F.coalesce("base", "key").alias("main"), "note", "bare", years.alias("years"), "runtimes", "ids", own.alias("own")))
+    keys = d.select("id", F.explode("own").alias("key")).groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    return d.drop("own").join(graph.large(keys), "id").join(graph.large(shown), "id")
 
 
 def _near(a: Column, b: Column, most: int) -> Column:
@@ -71,20 +85,42 @@ def _runs(words: Column, first_only: bool) -> Column:
 def multi_hall_venues(ev: DataFrame, slots: DataFrame, least: int = 2) -> DataFrame:
     """Venues that ran two films without a common title word at one time, at least times.
 
-    A slot's titles have a common word if one word stands in as many titles as there are films; only the
-    rest, slots without such a word, is looked at pair by pair.
+    Most slots show it by their first and last film alone, and a word that stands in all titles of a venue rules it out.  Only for
+    the venues left the films of the other slots are brought together: a word in all titles settles a slot, the rest is looked at pair by pair.
     """
-    at = slots.select("venue", "date", "time", "id").distinct().join(ev.select("id", F.array_distinct(F.split("key", " ")).alias("words")), "id")
-    per = at.groupBy("venue", "date", "time").agg(F.count(F.lit(1)).alias("films"), F.collect_set("words").alias("titles")).filter("films > 1")
-    apart = F.exists("titles", lambda x: F.exists("titles", lambda y: ~F.arrays_overlap(x, y)))
-    return per.filter(apart).groupBy("venue").agg(F.count(F.lit(1)).alias("moments")).filter(F.col("moments") >= least).select("venue")
+    at = screenings(slots).select("id", F.explode("at").alias("x"))
+    words = graph.large(ev.select("id", F.array_distinct(F.split("key", " ")).alias("words")))
+    ends = at.groupBy("x").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b")
+    for c in "ab":
+        ends = ends.join(words.select(F.col("id").alias(c), F.col("words").alias(f"w{c}")), c, "left")
+    ends = graph.cut(ends.select("x", F.col("x.venue").alias("venue"), F.coalesce(~F.arrays_overlap("wa", "wb"), F.lit(False)).alias("apart"), F.array_intersect("wa", "wb").alias("common")))
+
+    def often(moments: DataFrame) -> DataFrame:
+        return moments.groupBy("venue").agg(F.count(F.lit(1)).alias("moments")).filter(F.col("moments") >= least).select("venue")
+
+    sure = graph.cut(often(ends.filter("apart")))
+    rest = ends.join(sure, "venue", "left_anti")
+    # a word of all titles is in those of any slot
+    tried = graph.cut(rest.groupBy("venue").agg(F.bool_or("apart").alias("apart"), F.first("common").alias("common")).filter("not apart").select("venue", F.explode("common").alias("word")))
+    shown = screenings(slots).select("id", F.explode(F.array_distinct(F.transform("at", lambda x: x["venue"]))).alias("venue")).join(words, "id")
+    shown = shown.join(F.broadcast(tried) if tried.count() <= MOST_TRIED else graph.large(tried), "venue")
+    alike = shown.groupBy("venue", "word").agg(F.bool_and(F.array_contains("words", F.col("word"))).alias("all")).filter("all").select("venue").distinct()
+    rest = graph.cut(rest.join(graph.large(alike), "venue", "left_anti"))
+    if rest.filter("not apart").isEmpty():
+        return sure
+    per = at.join(graph.large(rest.filter("not apart").select("x")), "x").join(words, "id").groupBy("x").agg(F.count(F.lit(1)).alias("films"), F.collect_set("words").alias("titles")).filter("films > 1")
+    common = F.reduce("titles", F.get("titles", F.lit(0)), lambda w, t: F.array_intersect(w, t))
+    apart = F.when(F.size(common) > 0, F.lit(False)).otherwise(F.exists("titles", lambda x: F.exists("titles", lambda y: ~F.arrays_overlap(x, y))))
+    more = rest.filter("apart").select("venue").unionByName(per.filter(apart).select(F.col("x.venue").alias("venue")))
+    return sure.unionByName(often(more)).distinct()
 
 
 def lend_versions(ev: DataFrame, slots: DataFrame) -> DataFrame:
     """ev in which the listing of a language version lends its years, runtimes and ids to the one film it is a version of."""
-    v = ev.filter("note <> '' and bare <> ''").select(F.struct(*ev.columns).alias("v"), F.col("bare").alias("main"))
-    h = ev.filter("note = ''").select(F.struct(*ev.columns).alias("h"), "main")
-    pairs = v.join(h, "main").filter(~conflict("v", "h") & _guard(F.col("main"), F.lit(""), F.col("main")) & F.arrays_overlap("v.venues", "h.venues") & (F.col("v.first") <= F.col("h.last")) & (F.col("h.first") <= F.col("v.last")))
+    known = F.struct("id", "years", "runtimes", "ids", "venues", "first", "last")
+    v = ev.filter("note <> '' and bare <> ''").select(known.alias("v"), F.col("bare").alias("main"))
+    h = ev.filter("note = ''").select(known.alias("h"), "main")
+    pairs = v.join(graph.large(h), "main").filter(~conflict("v", "h") & _guard(F.col("main"), F.lit(""), F.col("main")) & F.arrays_overlap("v.venues", "h.venues") & (F.col("v.first") <= F.col("h.last")) & (F.col("h.first") <= F.col("v.last")))
     one = pairs.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("v.id"))).filter("n = 1")
     more = one.groupBy(F.col("h.id").alias("id")).agg(*[F.flatten(F.collect_list(f"v.{c}")).alias(f"m_{c}") for c in ("years", "runtimes", "ids")])
     d = ev.join(more, "id", "left")
@@ -95,24 +131,30 @@ def lend_versions(ev: DataFrame, slots: DataFrame) -> DataFrame:
 
 def shared_screenings(slots: DataFrame, pairs: DataFrame, halls: DataFrame) -> DataFrame:
     """a, b of pairs that list the very same screening: one at a one-hall venue, else two or more that are all of one's there."""
-    s = slots.select("id", "venue", "date", "time").distinct().join(halls.select("venue", F.lit(True).alias("halls")), "venue", "left").withColumn("halls", F.coalesce("halls", F.lit(False)))
-    a = pairs.select("a", "b").distinct()
-    both = a.join(s.withColumnRenamed("id", "a"), "a").join(s.select(F.col("id").alias("b"), "venue", "date", "time"), ["b", "venue", "date", "time"])
-    per = both.groupBy("a", "b", "venue").agg(F.count(F.lit(1)).alias("n"), F.bool_or("halls").alias("halls"))
-    total = s.groupBy("id", "venue").agg(F.count(F.lit(1)).alias("own"))
-    per = per.join(total.select(F.col("id").alias("a"), "venue", F.col("own").alias("na")), ["a", "venue"]).join(total.select(F.col("id").alias("b"), "venue", F.col("own").alias("nb")), ["b", "venue"])
-    g = per.groupBy("a", "b").agg(F.bool_or(~F.col("halls")).alias("lone"), F.sum("n").alias("n"), F.bool_and(F.col("n") == F.col("na")).alias("all_a"), F.bool_and(F.col("n") == F.col("nb")).alias("all_b"))
+    def known(c: str) -> Column:
+        return F.filter(c, lambda x: x["venue"].isNotNull() & x["date"].isNotNull() & x["time"].isNotNull())
+
+    def there(c: str, v: Column) -> Column:
+        return F.size(F.filter(c, lambda x: x["venue"] == v))
+
+    s, d = graph.large(screenings(slots)), pairs.select("a", "b").distinct()
+    for x in "ab":
+        d = d.join(s.select(F.col("id").alias(x), F.col("at").alias(f"at_{x}")), x)
+    d = d.withColumn("both", F.array_intersect(known("at_a"), known("at_b")))
+    each = F.transform(F.array_distinct(F.transform("both", lambda x: x["venue"])), lambda v: F.struct(v.alias("venue"), there("both", v).alias("n"), there("at_a", v).alias("na"), there("at_b", v).alias("nb")))
+    per = d.select("a", "b", F.explode(each).alias("v")).select("a", "b", "v.*").join(halls.select("venue", F.lit(True).alias("halls")), "venue", "left")
+    g = per.groupBy("a", "b").agg(F.bool_or(F.col("halls").isNull()).alias("lone"), F.sum("n").alias("n"), F.bool_and(F.col("n") == F.col("na")).alias("all_a"), F.bool_and(F.col("n") == F.col("nb")).alias("all_b"))
     return g.filter(F.col("lone") | ((F.col("n") >= 2) & (F.col("all_a") | F.col("all_b")))).select("a", "b")
 
 
 def edges(ev: DataFrame, slots: DataFrame, halls: DataFrame, distinct: DataFrame) -> DataFrame:
     """a < b, rule: pairs that are one film by the first rule that holds; distinct: a, b that a person told apart."""
-    rec = ev.select("id", F.struct(*ev.columns).alias("r"))
+    rec = graph.large(ev.select("id", F.struct("note", "minted", "years", "runtimes", "venues", "first", "last").alias("r")))
 
     def paired(d: DataFrame, rule: int) -> DataFrame:
         return d.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(rule).alias("rule"), F.col("x").alias("short")).filter("a <> b")
 
-    k = ev.select("id", "note", F.explode("keys").alias("key"))
+    k = graph.large(ev.select("id", F.explode("keys").alias("key")))
     same_key = k.select(F.col("id").alias("x"), "key").join(k.select(F.col("id").alias("y"), "key"), "key").filter("x < y")
     i = ev.select("id", F.explode("ids").alias("outer"))
     same_id = i.select(F.col("id").alias("x"), "outer").join(i.select(F.col("id").alias("y"), "outer"), "outer").filter("x < y")
@@ -125,7 +167,7 @@ def edges(ev: DataFrame, slots: DataFrame, halls: DataFrame, distinct: DataFrame
     begins = begins.join(k.select(F.col("id").alias("x"), "key"), "key").filter(_guard(F.col("key"), F.expr("substring(long, length(key) + 2)"), F.col("long"))).select("x", "y").distinct()
     mains = ev.select(F.col("id").alias("y"), F.col("main").alias("long")).withColumn("w", F.split("long", " ")).filter(F.size("w") >= 3)
     inside = mains.select("y", "long", F.explode(F.array_distinct(_runs(F.col("w"), False))).alias("key"))
-    inside = inside.join(ev.select(F.col("id").alias("x"), "key"), "key").filter(~F.startswith("long", F.concat("key", F.lit(" "))) & (text.letters(F.col("key")) >= 10))
+    inside = inside.join(graph.large(ev.select(F.col("id").alias("x"), "key")), "key").filter(~F.startswith("long", F.concat("key", F.lit(" "))) & (text.letters(F.col("key")) >= 10))
     rest = F.expr("trim(replace(concat(' ', long, ' '), concat(' ', key, ' '), ' '))")
     inside = inside.filter(_guard(F.col("key"), rest, F.col("long"))).select("x", "y").distinct()
     found = paired(same_key, 1).unionByName(paired(same_id, 2)).unionByName(paired(dropped, 3)).unionByName(paired(begins, 4)).unionByName(paired(inside, 5)).distinct()
@@ -145,7 +187,7 @@ def edges(ev: DataFrame, slots: DataFrame, halls: DataFrame, distinct: DataFrame
 
 def unshared(found: DataFrame, ev: DataFrame) -> DataFrame:
     """Edges without the fuzzy ones of a shorter title that fits two different films."""
-    n = ev.select("id", F.length("key").alias("n"))
+    n = graph.large(ev.select("id", F.length("key").alias("n")))
     d = found.join(n.select(F.col("id").alias("a"), F.col("n").alias("la")), "a").join(n.select(F.col("id").alias("b"), F.col("n").alias("lb")), "b")
     fuzzy = F.col("rule").isin(*FUZZY)
     short = F.when(F.col("la") <= F.col("lb"), F.col("a")).otherwise(F.col("b"))
@@ -157,21 +199,23 @@ def unshared(found: DataFrame, ev: DataFrame) -> DataFrame:
 
 def merges(found: DataFrame, ev: DataFrame) -> DataFrame:
     """drop, into: the records that go, of components without a conflict and with one catalogue film at most."""
-    m = graph.components(found).withColumnRenamed("node", "id").join(ev, "id")
+    m = graph.cut(graph.components(found).withColumnRenamed("node", "id").join(graph.large(ev), "id"))
     seeds = m.groupBy("root").agg(F.count_if(~F.col("minted")).alias("seeds")).filter("seeds <= 1").select("root")
     # few different facts, however many records a component has
     facts = m.select("root", "years", "runtimes").distinct().withColumn("f", F.struct("years", "runtimes"))
     p, q = facts.select("root", F.col("f").alias("p")), facts.select("root", F.col("f").alias("q"))
     torn = p.join(q, "root").filter(conflict("p", "q")).select("root").distinct()
     m = m.join(seeds, "root").join(torn, "root", "left_anti")
-    prefixed = text.clean_title(F.col("bg")) != text.clean_title(F.col("bg"), keep_prefix=True)
+    bare = text.strip_festival(F.col("bg")) == text.one_space(F.col("bg"))
+    prefixed = F.when(bare, F.lit(False)).otherwise(text.clean_title(F.col("bg")) != text.clean_title(F.col("bg"), keep_prefix=True))
     order = F.struct(F.col("minted"), prefixed.alias("p"), (-F.size("venues")).alias("v"), (-F.col("slots")).alias("s"), (-((F.size("years") > 0).cast("int") + (F.size("runtimes") > 0).cast("int"))).alias("f"), (-F.length("bg")).alias("l"), "id")
     best = m.groupBy("root").agg(F.min_by("id", order).alias("into"))
     return m.join(best, "root").filter("id <> into").select(F.col("id").alias("drop"), "into")
 
 
 def detect(films: DataFrame, slots: DataFrame, distinct: DataFrame) -> DataFrame:
-    ev = graph.cut(lend_versions(evidence(films, slots), slots))
+    slots = graph.cut(screenings(slots))
+    ev = graph.cut(lend_versions(graph.cut(evidence(films, slots)), slots))
     return merges(graph.cut(unshared(edges(ev, slots, multi_hall_venues(ev, slots), distinct), ev)), ev)
 
 
